@@ -1,9 +1,15 @@
 """All queries of the core and their SQL."""
 
+from __future__ import annotations
+
+from rigweave.plans import data_problems
+
+MODULES = (data_problems,)
+
 
 def queries() -> dict:
-    return {}
+    return {name: f for module in MODULES for name, f in module.queries().items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for module in MODULES for name, sql in module.oracle_sql().items()}
