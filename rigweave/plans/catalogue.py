@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from rigweave.plans import data_problems
+from rigweave.plans import alignment, data_problems
 
-MODULES = (data_problems,)
+MODULES = (alignment, data_problems)
 
 
 def queries() -> dict:
