@@ -19,19 +19,19 @@ def classify_points(points: DataFrame, intervals: DataFrame, entity: str, ts: st
     entity or time get null.
     """
     columns = [F.col(c) for c in points.columns]
-    packed = F.struct(*columns).alias("_p")
-    kind = dict(points.select(packed).dtypes)["_p"]
-    asked = points.select(F.col(entity).alias("_e"), F.col(ts).cast("long").alias("_t"), F.lit(1).alias("_kind"), packed)
-    none = F.lit(None).cast(kind).alias("_p")
+    packed = F.struct(*columns).alias("__iv_row")
+    kind = dict(points.select(packed).dtypes)["__iv_row"]
+    asked = points.select(F.col(entity).alias("__iv_entity"), F.col(ts).cast("long").alias("__iv_at"), F.lit(1).alias("__iv_kind"), packed)
+    none = F.lit(None).cast(kind).alias("__iv_row")
     # at one instant starts count before the points and ends after them: both bounds lie inside
-    starts = intervals.select(F.col(entity).alias("_e"), F.col("start_ns").alias("_t"), F.lit(0).alias("_kind"), none)
-    ends = intervals.where("end_ns is not null").select(F.col(entity).alias("_e"), F.col("end_ns").alias("_t"), F.lit(2).alias("_kind"), none)
+    starts = intervals.select(F.col(entity).alias("__iv_entity"), F.col("start_ns").alias("__iv_at"), F.lit(0).alias("__iv_kind"), none)
+    ends = intervals.where("end_ns is not null").select(F.col(entity).alias("__iv_entity"), F.col("end_ns").alias("__iv_at"), F.lit(2).alias("__iv_kind"), none)
     events = asked.unionByName(starts).unionByName(ends)
-    value = F.when(F.col("_kind") == 0, F.lit(1)).when(F.col("_kind") == 2, F.lit(_PASSED)).otherwise(0).cast("long")
-    done = running_total(events, "_e", "_t", value, "_seen", ["_kind"], TIME_BITS).where("_kind = 1")
-    started, passed = F.col("_seen") % _PASSED, F.shiftright("_seen", 32)
-    result = F.when(F.col("_e").isNotNull() & F.col("_t").isNotNull() & (started == passed), passed)
-    return done.select("_p.*", result.alias(name))
+    value = F.when(F.col("__iv_kind") == 0, F.lit(1)).when(F.col("__iv_kind") == 2, F.lit(_PASSED)).otherwise(0).cast("long")
+    done = running_total(events, "__iv_entity", "__iv_at", value, "__iv_seen", ["__iv_kind"], TIME_BITS).where("__iv_kind = 1")
+    started, passed = F.col("__iv_seen") % _PASSED, F.shiftright("__iv_seen", 32)
+    result = F.when(F.col("__iv_entity").isNotNull() & F.col("__iv_at").isNotNull() & (started == passed), passed)
+    return done.select("__iv_row.*", result.alias(name))
 
 
 def merge_overlaps(intervals: DataFrame, entity: str) -> DataFrame:
@@ -63,8 +63,8 @@ def contained(inner: DataFrame, outer: DataFrame, key: str) -> DataFrame:
     events = marks.unionByName(asked)
     # outer ranges start in order, so the number of starts so far names the last of them
     counted = running_total(events, key, "t", F.when(F.col("kind") == 0, 1).otherwise(0), "ordinal", ["kind"])
-    holder = counted.where("kind = 0").select(F.col(key).alias("_k"), F.col("ordinal").alias("_o"), F.col("bound").alias("_b"))
+    holder = counted.where("kind = 0").select(F.col(key).alias("__iv_k"), F.col("ordinal").alias("__iv_o"), F.col("bound").alias("__iv_b"))
     rows = counted.where("kind = 1")
-    met = rows.join(holder, (F.col(key) == F.col("_k")) & (F.col("ordinal") == F.col("_o")), "left")
-    fits = F.coalesce((F.col("_b") >= F.col("p.end_idx")) & (F.col("p.start_idx") < F.col("p.end_idx")), F.lit(False))
+    met = rows.join(holder, (F.col(key) == F.col("__iv_k")) & (F.col("ordinal") == F.col("__iv_o")), "left")
+    fits = F.coalesce((F.col("__iv_b") >= F.col("p.end_idx")) & (F.col("p.start_idx") < F.col("p.end_idx")), F.lit(False))
     return met.select("p.*", fits.cast("int").alias("n_containers"))

@@ -18,20 +18,20 @@ def spread_rank(df: DataFrame, keys: list[str], order: str, tie: list[str], rank
 
     The hash's leading bits cut every group into up to 256 parts; the parts' counts, pre-aggregated before the shuffle,
     give each part's offset, and only rows of one part meet in one task, so a hot group is ranked by many tasks.
-    Null keys form a group; repeated (order, tie) get distinct ranks in no fixed order. Columns named `_sub` and `_base`
-    must not occur.
+    Null keys form a group; repeated (order, tie) get distinct ranks in no fixed order. Columns
+    named __rk_* are the helper's own.
     """
-    cut = df.withColumn("_sub", F.shiftright(F.col(order), 63 - SUB_BITS).cast("int"))
-    counts = cut.groupBy(*keys, "_sub").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_sub").rowsBetween(Window.unboundedPreceding, -1)
-    base = counts.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_sub").alias("_k_sub"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    same = F.col("_sub") == F.col("_k_sub")
+    cut = df.withColumn("__rk_sub", F.shiftright(F.col(order), 63 - SUB_BITS).cast("int"))
+    counts = cut.groupBy(*keys, "__rk_sub").agg(F.count(F.lit(1)).alias("__rk_n"))
+    before = Window.partitionBy(*keys).orderBy("__rk_sub").rowsBetween(Window.unboundedPreceding, -1)
+    base = counts.select(*[F.col(k).alias(f"__rk_k_{k}") for k in keys], F.col("__rk_sub").alias("__rk_k_sub"), F.coalesce(F.sum("__rk_n").over(before), F.lit(0)).alias("__rk_base"))
+    same = F.col("__rk_sub") == F.col("__rk_k_sub")
     for key in keys:
-        same = same & F.col(key).eqNullSafe(F.col(f"_k_{key}"))
-    inside = Window.partitionBy(*keys, "_sub").orderBy(order, *tie)
+        same = same & F.col(key).eqNullSafe(F.col(f"__rk_k_{key}"))
+    inside = Window.partitionBy(*keys, "__rk_sub").orderBy(order, *tie)
     return (
-        cut.withColumn("_r", F.row_number().over(inside) - 1)
+        cut.withColumn("__rk_r", F.row_number().over(inside) - 1)
         .join(base, same)
-        .withColumn(rank, F.col("_base") + F.col("_r"))
+        .withColumn(rank, F.col("__rk_base") + F.col("__rk_r"))
         .select(*df.columns, rank)
     )

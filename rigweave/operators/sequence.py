@@ -1,7 +1,7 @@
 """Ordered operators over long sequences without one task per sequence.
 
 A sequence (say an episode) is cut into chunks of its integer order. Windows run inside chunks; what has to cross a
-chunk's edge travels through a table with one row per chunk. So an episode that holds a large share of all rows is the
+chunk's edge travels through a table with one row per chunk. (Columns named __seq_* are the helpers' own.) So an episode that holds a large share of all rows is the
 work of many tasks, and the wide rows are shuffled once, by (key, chunk).
 """
 
@@ -14,7 +14,7 @@ CHUNK_BITS = 14
 
 
 def _chunked(df: DataFrame, seq: str, bits: int) -> DataFrame:
-    return df.withColumn("_chunk", F.shiftright(F.col(seq).cast("long"), bits))
+    return df.withColumn("__seq_chunk", F.shiftright(F.col(seq).cast("long"), bits))
 
 
 def neighbour(df: DataFrame, key: str, seq: str, columns: dict[str, str], tie: list[str] | None = None, after: bool = False, bits: int = CHUNK_BITS) -> DataFrame:
@@ -23,30 +23,30 @@ def neighbour(df: DataFrame, key: str, seq: str, columns: dict[str, str], tie: l
     Rows order by (seq, tie). A null key or seq forms its own sequence part; empty input stays empty.
     """
     order = [seq, *(tie or [])]
-    inside = Window.partitionBy(key, "_chunk").orderBy(*order)
+    inside = Window.partitionBy(key, "__seq_chunk").orderBy(*order)
     packed = F.struct(*[F.col(old).alias(new) for new, old in columns.items()])
     rows = _chunked(df, seq, bits)
     at_edge = F.struct(*order)
-    edge = rows.groupBy(key, "_chunk").agg((F.min_by if after else F.max_by)(packed, at_edge).alias("_e"))
-    over = Window.partitionBy(key).orderBy("_chunk")
-    edge = edge.select(F.col(key).alias("_k"), F.col("_chunk").alias("_c"), (F.lead("_e") if after else F.lag("_e")).over(over).alias("_far"))
+    edge = rows.groupBy(key, "__seq_chunk").agg((F.min_by if after else F.max_by)(packed, at_edge).alias("__seq_e"))
+    over = Window.partitionBy(key).orderBy("__seq_chunk")
+    edge = edge.select(F.col(key).alias("__seq_key"), F.col("__seq_chunk").alias("__seq_edge_chunk"), (F.lead("__seq_e") if after else F.lag("__seq_e")).over(over).alias("__seq_far"))
     step = F.lead if after else F.lag
-    rows = rows.withColumn("_near", step(packed).over(inside))
-    joined = rows.join(edge, rows[key].eqNullSafe(edge["_k"]) & rows["_chunk"].eqNullSafe(edge["_c"]))
-    value = F.coalesce("_near", "_far")
+    rows = rows.withColumn("__seq_near", step(packed).over(inside))
+    joined = rows.join(edge, rows[key].eqNullSafe(edge["__seq_key"]) & rows["__seq_chunk"].eqNullSafe(edge["__seq_edge_chunk"]))
+    value = F.coalesce("__seq_near", "__seq_far")
     return joined.select(*df.columns, *[value[new].alias(new) for new in columns])
 
 
 def running_total(df: DataFrame, key: str, seq: str, value: Column, name: str, tie: list[str] | None = None, bits: int = CHUNK_BITS) -> DataFrame:
     """Add the sum of `value` over the key's rows up to and with this one, in the order of (seq, tie)."""
-    rows = _chunked(df.withColumn("_v", value), seq, bits)
-    inside = Window.partitionBy(key, "_chunk").orderBy(seq, *(tie or [])).rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offset = rows.groupBy(key, "_chunk").agg(F.sum("_v").alias("_s"))
-    offset = offset.select(F.col(key).alias("_k"), F.col("_chunk").alias("_c"), F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_base"))
-    rows = rows.withColumn("_in", F.sum("_v").over(inside))
-    joined = rows.join(offset, rows[key].eqNullSafe(offset["_k"]) & rows["_chunk"].eqNullSafe(offset["_c"]))
-    return joined.select(*df.columns, (F.col("_base") + F.col("_in")).alias(name))
+    rows = _chunked(df.withColumn("__seq_v", value), seq, bits)
+    inside = Window.partitionBy(key, "__seq_chunk").orderBy(seq, *(tie or [])).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy(key).orderBy("__seq_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offset = rows.groupBy(key, "__seq_chunk").agg(F.sum("__seq_v").alias("__seq_s"))
+    offset = offset.select(F.col(key).alias("__seq_key"), F.col("__seq_chunk").alias("__seq_edge_chunk"), F.coalesce(F.sum("__seq_s").over(before), F.lit(0)).alias("__seq_base"))
+    rows = rows.withColumn("__seq_in", F.sum("__seq_v").over(inside))
+    joined = rows.join(offset, rows[key].eqNullSafe(offset["__seq_key"]) & rows["__seq_chunk"].eqNullSafe(offset["__seq_edge_chunk"]))
+    return joined.select(*df.columns, (F.col("__seq_base") + F.col("__seq_in")).alias(name))
 
 
 def row_index(df: DataFrame, key: str, seq: str, name: str, tie: list[str] | None = None, bits: int = CHUNK_BITS) -> DataFrame:
@@ -59,7 +59,7 @@ def islands(df: DataFrame, key: str, seq: str, begins: Column, name: str, needs:
 
     `begins` may use the columns of `needs` (new: old), the previous row's values; they are null in the first row.
     """
-    seen = neighbour(df, key, seq, {"_first": seq, **needs}, tie)
-    start = F.when(F.col("_first").isNull() | F.coalesce(begins, F.lit(True)), 1).otherwise(0)
+    seen = neighbour(df, key, seq, {"__seq_first": seq, **needs}, tie)
+    start = F.when(F.col("__seq_first").isNull() | F.coalesce(begins, F.lit(True)), 1).otherwise(0)
     numbered = running_total(seen, key, seq, start, name, tie)
     return numbered.withColumn(name, F.col(name) - 1).select(*df.columns, name)

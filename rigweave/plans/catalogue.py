@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from rigweave.plans import alignment, data_problems
+from rigweave.plans import alignment, data_problems, datasets, motion
 
-MODULES = (alignment, data_problems)
+MODULES = (alignment, motion, datasets, data_problems)
 
 
 def queries() -> dict:
