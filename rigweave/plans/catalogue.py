@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from rigweave.plans import alignment, data_problems, datasets, motion
+from rigweave.plans import alignment, data_problems, datasets, edges, motion
 
-MODULES = (alignment, motion, datasets, data_problems)
+MODULES = (alignment, motion, datasets, edges, data_problems)
 
 
 def queries() -> dict:

@@ -289,7 +289,7 @@ SELECT violation, count(*) AS n FROM (SELECT unnest(v) AS violation FROM v) GROU
         "actuator_terms": f"""WITH w AS (SELECT doc_id, text, list_transform(regexp_split_to_array(lower(text), '\\s+'), lambda x: regexp_replace(x, '^[.,:;!?()\\[\\]{{}}"]+|[.,:;!?()\\[\\]{{}}"]+$', '', 'g')) AS ws FROM documents),
 t AS (SELECT doc_id, unnest(list_distinct(list_concat(list_filter(ws, lambda x: x IN ({latin})), list_filter([{han}], lambda x: x IS NOT NULL)))) AS word FROM w) SELECT word, count(*) AS n FROM t GROUP BY 1""",
         "names": "SELECT doc_id, 'episode_' || lpad(doc_id::VARCHAR, 6, '0') AS episode, 'data/chunk-' || lpad((doc_id // 1000)::VARCHAR, 3, '0') || '/episode_' || lpad(doc_id::VARCHAR, 6, '0') || '.parquet' AS path FROM documents",
-        "stats_match": "SELECT o_orderpriority, count(*) AS n, true AS agree FROM orders GROUP BY 1",
+        "stats_match": "SELECT o_orderpriority, count(*) AS n, abs(avg(o_totalprice) - sum(o_totalprice) / count(*)) <= greatest(1e-9 * greatest(abs(avg(o_totalprice)), abs(sum(o_totalprice) / count(*))), 1e-6) AS agree FROM orders GROUP BY 1",
         "last_events": "SELECT event_id, user_id, event_type FROM events ORDER BY event_id DESC LIMIT 100",
         "pricing_summary": "SELECT r_name, l_returnflag, count(*) AS n, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2",
     }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rigweave.functions.arrays import all_finite, difference, flip, float32_error, luminance, neighbour_difference, norm, rot180, total
 from rigweave.operators.intervals import contained
+from rigweave.operators.merging import dense_ids
 from rigweave.operators.sequence import islands, neighbour, row_index
 from rigweave.operators.stats import bookkeeping, most_frequent, summary
 from rigweave.plans.base import MOVES, TICKS, VECTORS, moves, table, ticks, vectors
@@ -58,12 +59,7 @@ def contiguous_runs(spark: SparkSession, folder: str) -> DataFrame:
 def frame_numbers(spark: SparkSession, folder: str) -> DataFrame:
     """Dense indices of an export: episode index by run, frame index inside it and time at 30 frames a second."""
     runs = contiguous_runs(spark, folder).select("episode_id", "run_id", "start_row", "end_row")
-    order = settle(runs.withColumn("all", F.lit("x")).withColumn("n", F.col("end_row") - F.col("start_row")), "runs")
-    from pyspark.sql import Window
-
-    # one row a run: a global order is only taken over those
-    w = Window.orderBy("episode_id", "start_row")
-    indexed = order.withColumn("episode_index", F.row_number().over(w) - 1).withColumn("base", F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    indexed = dense_ids(runs.withColumn("n", F.col("end_row") - F.col("start_row")), ["episode_id", "start_row"], "episode_index", "n", "base")
     frames = indexed.select("run_id", "episode_index", "base", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("frame_index"))
     return frames.select("run_id", "episode_index", "frame_index", (F.col("base") + F.col("frame_index")).alias("index"), F.round(F.col("frame_index") / F.lit(30.0), 6).alias("timestamp"), (F.col("frame_index") == F.col("n") - 1).cast("int").alias("success"))
 
