@@ -123,7 +123,7 @@ def cluster(files: DataFrame, capacity: int, ranges: int = RANGES) -> DataFrame:
     """
     coded = settle(with_codes(files), "codes")
     mean = coded.agg(F.avg("n_bytes")).first()[0] or 1
-    record = F.when(F.col("known"), F.concat_ws("|", "episode", "camera", "frame", "digest")).otherwise(F.concat(F.lit("#"), F.col("file_id").cast("string")))
+    record = F.when(F.col("known"), F.concat_ws("|", "episode", "camera", "frame", "digest")).otherwise(F.concat(F.lit("#"), F.coalesce(F.col("file_id").cast("string"), F.lit("null"))))
     coded = coded.withColumn("bytes", F.coalesce("n_bytes", F.lit(int(mean))).cast("long")).withColumn("record", record)
     kept = coded.groupBy("record").agg(F.min("file_id").alias("keeper_id"), F.first("code").alias("code"), F.max("bytes").alias("bytes"))
     kept = settle(kept, "records")

@@ -376,8 +376,11 @@ def find_implausible(rows: DataFrame, series: Series, rules: SpikeRules = SpikeR
     record, in the order of `seq` within `owner`; `source` may be null where another row of the owner names it; `raw` is
     the value whose repetition is judged for lags (0 otherwise). Rows without owner or place are judged by limits alone.
     A record that arrives again counts once; arrays that are too short have no reading there, what exceeds the width is
-    ignored; NaN and infinities are impossible readings, null is none. Empty input gives no rows.
+    ignored; NaN and infinities are impossible readings, null is none. Rows without ident cannot be named and are left out.
+    Of two records at one place the smaller ident comes first. Other columns are ignored. Empty input gives no rows.
     """
+    readings = [c for c in rows.columns if c.startswith("v_")]
+    rows = rows.select("ident", "owner", "seq", "source", "hour", "raw", *readings).where("ident is not null").withColumn("ident", F.col("ident").cast("long"))
     alone = F.concat(F.lit("\u0001"), F.col("ident").cast("string"))
     placed = F.col("owner").isNotNull() & F.col("seq").isNotNull()
     rows = rows.withColumn("owner", F.when(placed, F.col("owner")).otherwise(alone)).withColumn("seq", F.coalesce(F.when(placed, F.col("seq")), F.lit(0)).cast("long"))

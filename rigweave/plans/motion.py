@@ -16,6 +16,8 @@ from rigweave.session import settle
 ARM, HAND = (0, 6), (6, 17)
 #: Hand joints of a source whose sign is turned, and their places in the whole vector.
 FLIPPED = (9, 12, 14)
+#: Readings from here on are no angles; their sums would drown all others.
+ANGLE = 1e6
 LAGS = {
     "state_component_skew_ns": ("abs", "arm_pre_timestamp_ns", "hand_pre_timestamp_ns"),
     "action_component_skew_ns": ("abs", "arm_action_timestamp_ns", "hand_action_timestamp_ns"),
@@ -158,7 +160,7 @@ def _elements(df: DataFrame, vector: str) -> DataFrame:
 
 def vector_summary(spark: SparkSession, folder: str) -> DataFrame:
     """Summary of the size of all elements (joint -1) and of each joint, of the state vector."""
-    e = _elements(vectors(spark, folder), "state").withColumn("v", F.abs("v"))
+    e = _elements(vectors(spark, folder), "state").withColumn("v", F.abs("v")).where(F.col("v") < ANGLE)
     both = e.select(F.explode(F.array(F.col("joint"), F.lit(-1))).alias("joint"), "v")
     return both.groupBy("joint").agg(*summary(F.col("v")))
 
@@ -187,7 +189,7 @@ def step_summary(spark: SparkSession, folder: str) -> DataFrame:
     """Per joint: sizes of state steps inside segments."""
     v = vectors(spark, folder).where("episode_id is not null").select("episode_id", "tick", "next_tick", "state")
     p = neighbour(v, "episode_id", "tick", {"p_next": "next_tick", "p_state": "state"}).where("p_next = tick")
-    e = p.select(F.posexplode(F.zip_with("state", "p_state", lambda a, b: F.abs(a - b))).alias("joint", "v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
+    e = p.select(F.posexplode(F.zip_with("state", "p_state", lambda a, b: F.abs(a - b))).alias("joint", "v")).where(F.col("v") < ANGLE)
     return e.groupBy("joint").agg(*summary(F.col("v")))
 
 
@@ -385,7 +387,7 @@ SELECT episode_id, total, positive, valid, frames, uniq, repeat, frozen_ns, roun
         "lag_summary": f"WITH {LAG_CTE}, x AS ({longlag}) SELECT metric, {s('v')} FROM x GROUP BY 1",
         "episode_median_distribution": f"WITH {LAG_CTE}, x AS ({longlag}), m AS (SELECT metric, episode_id, quantile_cont(v::DOUBLE, 0.5) AS m FROM x GROUP BY ALL) SELECT metric, {s('m')} FROM m GROUP BY 1",
         "temporal_flags": f"WITH {LAG_CTE} SELECT {', '.join(f'count(*) FILTER ({n} > {v}) AS {n}' for n, v in LIMITS.items())}, count(*) FILTER ({' AND '.join(f'NOT coalesce({n} > {v}, false)' for n, v in LIMITS.items())}) AS kept, count(*) AS total FROM lags",
-        "vector_summary": f"WITH {VECTORS}, e AS ({_EL.format(v='state')}), x AS (SELECT joint, abs(v) AS v FROM e WHERE {fin} UNION ALL SELECT -1, abs(v) FROM e WHERE {fin}) SELECT joint, {s('v')} FROM x GROUP BY 1",
+        "vector_summary": f"WITH {VECTORS}, e AS ({_EL.format(v='state')}), x AS (SELECT joint, abs(v) AS v FROM e WHERE {fin} AND abs(v) < 1e6 UNION ALL SELECT -1, abs(v) FROM e WHERE {fin} AND abs(v) < 1e6) SELECT joint, {s('v')} FROM x GROUP BY 1",
         "joint_activity": f"""WITH {VECTORS}, e AS ({_EL.format(v='action')}), m AS (SELECT episode_id, joint, max(v) - min(v) > 1e-6 AS active FROM e WHERE {fin} AND episode_id IS NOT NULL GROUP BY ALL),
 p AS (SELECT episode_id, count(*) FILTER (active AND joint < 6) AS arm_active, count(*) FILTER (active AND joint >= 6) AS hand_active FROM m GROUP BY 1)
 SELECT *, CASE hand_active WHEN 0 THEN 'STATIC' WHEN 1 THEN 'SINGLE_JOINT' WHEN 11 THEN 'FULL_HAND' ELSE 'PARTIAL_HAND' END AS hand_activity FROM p""",
@@ -395,7 +397,7 @@ y AS (SELECT episode_id, dt, CASE WHEN dt > 0 AND st IS NOT NULL AND len(list_fi
 SELECT episode_id, count(*) FILTER (dt <= 0) AS skipped, count(sp) AS pairs, round(max(sp), 6) AS fastest, round(avg(sp), 6) AS mean_fastest FROM y GROUP BY 1""",
         "step_summary": f"""WITH {VECTORS}, p AS (SELECT tick, state, lag(next_tick) OVER w AS p_next, lag(state) OVER w AS p_state FROM vectors WHERE episode_id IS NOT NULL WINDOW w AS (PARTITION BY episode_id ORDER BY tick)),
 x AS (SELECT unnest(range(17)) AS joint, state, p_state FROM p WHERE p_next = tick AND state IS NOT NULL AND p_state IS NOT NULL), y AS (SELECT joint, CASE WHEN isfinite(state[joint + 1]) AND isfinite(p_state[joint + 1]) THEN abs(state[joint + 1] - p_state[joint + 1]) END AS v FROM x)
-SELECT joint, {s('v')} FROM y GROUP BY 1""",
+SELECT joint, {s('v')} FROM y WHERE v < 1e6 GROUP BY 1""",
         "sign_flip": f"WITH {VECTORS}, e AS ({_EL.format(v='action')}) SELECT joint, round(sum(CASE WHEN joint IN (9, 12, 14) THEN -v ELSE v END), 4) AS total, count(*) AS n FROM e WHERE {fin} AND abs(v) < 1e6 GROUP BY 1",
         "float32_cast": f"""WITH {VECTORS}, f AS (SELECT list_filter(action, lambda x: x IS NOT NULL) AS a FROM vectors WHERE action IS NOT NULL),
 e AS (SELECT CASE WHEN len(list_filter(a, lambda x: NOT isfinite(x) OR abs(x) > 3.4028235e38)) = 0 THEN list_max(list_transform(a, lambda x: abs(x - x::FLOAT::DOUBLE))) END AS e FROM f)
