@@ -121,7 +121,8 @@ def tie_records(records: DataFrame) -> DataFrame:
 
     records(record_id long, episode long or null, digest string or null); a record_id that arrives again is one record.
     Result: record_id, group_key string, group_episode long (lowest episode of the group, null if no record of it names
-    one). A record with neither key is a group of its own; a digest without any episode is a group by itself.
+    one). A record with neither key is a group of its own (those without an id together are one); a digest without any episode
+    is a group by itself. Other columns are ignored; no records give no rows.
     """
     rows = records.select("record_id", "episode", "digest").distinct()
     pairs = rows.where("episode is not null and digest is not null").select("episode", "digest").distinct()
@@ -136,7 +137,7 @@ def tie_records(records: DataFrame) -> DataFrame:
     key = F.coalesce(
         F.concat(F.lit("e:"), F.col("group_episode").cast("string")),
         F.concat(F.lit("d:"), F.col("digest")),
-        F.concat(F.lit("r:"), F.col("record_id").cast("string")),
+        F.concat(F.lit("r:"), F.coalesce(F.col("record_id").cast("string"), F.lit("null"))),
     )
     # a record that was written twice with different keys would tie both; ids repeat only in equal rows
     return placed.select("record_id", key.alias("group_key"), "group_episode").distinct()

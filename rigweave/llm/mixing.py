@@ -95,8 +95,10 @@ def mix(sizes: DataFrame, targets: DataFrame, seed: int = 0) -> tuple[DataFrame,
     target_tokens, mixed_tokens, share (of the mixture), short (the source cannot give its target even at max_repeats).
     Documents of unlisted or null sources are counted in the total but never used; a source without documents has share
     0 and is short; texts without tokens are used as often as their length's neighbours, which costs nothing.
+    Repeated rows are documents of their own; other columns are ignored; without documents there is nothing to mix.
     """
     spark = sizes.sparkSession
+    sizes = sizes.select("doc_id", "source_key", F.coalesce("n_tokens", F.lit(0)).cast("long").alias("n_tokens"))
     total, wanted, by = _measured(sizes, targets)
     plan, report = [], []
     for w in wanted:

@@ -125,14 +125,15 @@ def match_nearest(
     tolerances(channel, tolerance long), one row per channel; other columns are ignored. `max_tolerance` bounds the
     tolerances and must lie below 2**bucket_bits, else the buckets are widened.
     Result: probe_id, channel, sample_id, one row per distinct probe that has a partner. Rules: a distance equal to the
-    tolerance counts; of two equally near the earlier wins; of samples at one time the smallest id. Null entity, channel
-    or time never matches; repeated probes and samples count once; a channel without a tolerance has no partners; empty
+    tolerance counts; of two equally near the earlier wins; of samples at one time the smallest id. Null id, entity,
+    channel or time never matches; repeated probes and samples count once; a channel without a tolerance has no partners; empty
     tables give no rows.
     """
     bucket_bits = max(bucket_bits, int(max_tolerance).bit_length() + 1)
     width = F.lit(bucket_bits)
     known = [F.col(c).isNotNull() for c in ("entity", "channel", "ts")]
     ok = known[0] & known[1] & known[2]
+    samples, probes = samples.where("sample_id is not null"), probes.where("probe_id is not null")
     limits = F.broadcast(tolerances.groupBy("channel").agg(F.max("tolerance").cast("long").alias("tolerance")).where("tolerance >= 0"))
 
     def bucket(ts: Column) -> Column:

@@ -17,15 +17,25 @@ PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|
 STRETCH = 200_000
 
 
+def _cuts_well(text: str, at: int) -> bool:
+    """Whether a piece of PATTERN surely begins at this place: one blank or line break between two non-spaces."""
+    return text[at] in " \n" and not text[at - 1].isspace() and at + 1 < len(text) and not text[at + 1].isspace()
+
+
 def stretches(text: str, size: int = STRETCH) -> Iterator[str]:
-    """The whole text in stretches whose token counts add up: cuts fall before a space or line break between words."""
+    """The whole text in stretches of about `size`, whose token counts add up exactly to the whole text's.
+
+    Where no such place comes before the size is reached, the stretch goes on to the next one.
+    """
     start = 0
     while len(text) - start > size:
         cut = start + size
-        while cut > start + 1 and not (text[cut] in " \n" and not text[cut - 1].isspace() and cut + 1 < len(text) and not text[cut + 1].isspace()):
+        while cut > start and not _cuts_well(text, cut):
             cut -= 1
-        if cut <= start + 1:
+        if cut == start:
             cut = start + size
+            while cut < len(text) and not _cuts_well(text, cut):
+                cut += 1
         yield text[start:cut]
         start = cut
     yield text[start:]

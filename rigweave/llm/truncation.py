@@ -211,7 +211,7 @@ def find_cut(documents: DataFrame) -> DataFrame:
     """doc_id and is_cut for every document.
 
     documents(doc_id long, text string); other columns are ignored. Null, empty and blank texts are not cut. Equal texts
-    get equal results and do not vouch for each other. Texts are read whole, of any length.
+    get equal results and do not vouch for each other; an id that occurs more often is cut if any text of it is. Texts are read whole, of any length.
     """
     schema = "doc_id long, verdict boolean, copy_key long, style string, units array<string>, asked array<struct<last:string,probes:array<long>,marked:boolean,dots:boolean,risky:boolean>>"
     parsed = settle(documents.select("doc_id", "text").mapInPandas(_parse, schema), "units")
@@ -256,4 +256,4 @@ def find_cut(documents: DataFrame) -> DataFrame:
     cut = (F.coalesce("last_j", "before_j") == "cut").alias("is_cut")
     asked_docs = first.select("doc_id", F.coalesce(cut, F.lit(False)).alias("is_cut"))
     plain = parsed.where(F.size("asked") == 0).select("doc_id", F.coalesce("verdict", F.lit(False)).alias("is_cut"))
-    return plain.unionByName(asked_docs)
+    return plain.unionByName(asked_docs).groupBy("doc_id").agg(F.max("is_cut").alias("is_cut"))
