@@ -19,8 +19,8 @@ ORDER = 21
 DIGEST_BITS = 20
 CODE_BITS = 2 * ORDER + DIGEST_BITS
 #: Bits by which the histogram is refined at a time, and the largest number of ranges aimed at.
-REFINE_BITS = 6
-RANGES = 1024
+REFINE_BITS = 10
+RANGES = 256
 
 
 def hilbert_code(x: np.ndarray, y: np.ndarray, order: int = ORDER) -> np.ndarray:
@@ -48,15 +48,15 @@ def clean_path(path: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(p, r"/(?:\./)+", "/"), r"/{2,}", "/")
 
 
-def record_of(path: Column) -> tuple[Column, Column, Column]:
-    """(episode, camera, frame) of a path; camera 'wrist' stands for right_wrist too. Null where the path does not tell."""
-    p = clean_path(path)
+def with_record(df: DataFrame, path: str) -> DataFrame:
+    """Add episode, camera and frame of a path; camera 'wrist' stands for right_wrist too. Null where the path does not tell."""
+    # a projection of its own: the cleaned path is read many times and must not be computed as often
+    df, p = df.withColumn("__path", clean_path(F.col(path))), F.col("__path")
     number = lambda c: F.nullif(c, F.lit("")).cast("long")
     episode = number(F.regexp_extract(p, r"episode[_\- ]?(\d+)(?:_media)?/", 1))
-    camera = F.nullif(F.regexp_extract(p, r"/([^/]+)/rgb/[^/]*$", 1), F.lit(""))
-    camera = F.when(camera.isin("right_wrist", "wrist"), "wrist").otherwise(camera)
+    camera = F.nullif(F.regexp_replace(F.regexp_extract(p, r"/([^/]+)/rgb/[^/]*$", 1), "^right_wrist$", "wrist"), F.lit(""))
     frame = number(F.regexp_extract(p, r"/(\d+)(?: ?\(\d+\))?\.jpe?g$", 1))
-    return episode, camera, frame
+    return df.withColumns({"episode": episode, "camera": camera, "frame": frame}).drop("__path")
 
 
 def with_codes(files: DataFrame) -> DataFrame:
@@ -71,9 +71,8 @@ def with_codes(files: DataFrame) -> DataFrame:
         mask = (1 << ORDER) - 1
         return pd.Series((hilbert_code(episode.to_numpy() & mask, lane.to_numpy() & mask) << DIGEST_BITS) | low.to_numpy())
 
-    episode, camera, frame = record_of(F.col("path"))
     once = files.groupBy("file_id").agg(F.max("path").alias("path"), F.max("n_bytes").alias("n_bytes"), F.max("digest").alias("digest"))
-    rows = once.select("file_id", "path", "n_bytes", "digest", episode.alias("episode"), camera.alias("camera"), frame.alias("frame"))
+    rows = with_record(once, "path")
     known = F.col("episode").isNotNull() & F.col("camera").isNotNull() & F.col("frame").isNotNull() & F.col("digest").isNotNull()
     spare = F.shiftrightunsigned(F.xxhash64(F.lit("spare"), "file_id"), 1)
     low = F.shiftrightunsigned(F.xxhash64(F.lit("digest"), "digest"), 64 - DIGEST_BITS)
@@ -90,10 +89,11 @@ def code_ranges(coded: DataFrame, weight: str, ranges: int = RANGES) -> list[int
     ranges * 2**REFINE_BITS counts reach the driver at a time.
     """
     weighted = coded.groupBy("code").agg(F.sum(weight).alias("w"))
-    total = weighted.agg(F.sum("w")).first()[0] or 0
-    limit = max(1, -(-int(total) // ranges))
+    low, high, total = coded.agg(F.min("code"), F.max("code"), F.sum(weight)).first()
+    limit = max(1, -(-int(total or 0) // ranges))
     done: list[tuple[int, int]] = []
-    shift, heavy = CODE_BITS, None
+    # leading bits that all codes share need no counting
+    shift, heavy = min(CODE_BITS, ((low or 0) ^ (high or 0)).bit_length()), None
     while True:
         shift = max(0, shift - REFINE_BITS)
         cells = weighted.withColumn("cell", F.shiftright("code", shift))
