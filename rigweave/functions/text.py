@@ -69,11 +69,14 @@ def normalize_instruction(text: Column) -> Column:
 
 def violations(text: Column) -> Column:
     """Classes the text violates, once each, in a fixed order; null and blank texts are EMPTY_INSTRUCTION."""
-    clean = strip(text)
-    low = F.lower(clean)
-    found = [F.when(low.rlike(pattern), F.lit(name)) for name, pattern in VIOLATION_PATTERNS]
-    length = F.when((F.length(clean) > MAX_LENGTH) | (F.length(clean) < MIN_LENGTH), F.lit("INSTRUCTION_LENGTH"))
-    return F.when(clean.isNull() | (clean == ""), F.array(F.lit("EMPTY_INSTRUCTION"))).otherwise(F.array_compact(F.array(*found, length)))
+
+    def judge(low: Column) -> Column:
+        found = [F.when(low.rlike(pattern), F.lit(name)) for name, pattern in VIOLATION_PATTERNS]
+        length = F.when((F.length(low) > MAX_LENGTH) | (F.length(low) < MIN_LENGTH), F.lit("INSTRUCTION_LENGTH"))
+        return F.when(low.isNull() | (low == ""), F.array(F.lit("EMPTY_INSTRUCTION"))).otherwise(F.array_compact(F.array(*found, length)))
+
+    # bound as a lambda's variable, the lower-cased text is made once and not once a pattern
+    return F.transform(F.array(F.lower(strip(text))), judge)[0]
 
 
 def intents(text: Column) -> Column:

@@ -10,7 +10,7 @@ from rigweave.operators.intervals import classify_points, origin
 from rigweave.operators.reasons import group_counts, reason_counts, reasons
 from rigweave.operators.sequence import islands, neighbour, row_index
 from rigweave.operators.stats import zero_filled
-from rigweave.plans.base import INTERVENTIONS, MEDIA, MOVES, SAMPLES, TICKS, VECTORS, interventions, media, moves, samples, ticks, vectors
+from rigweave.plans.base import INTERVENTIONS, MEDIA, MOVES, SAMPLES, TICKS, VECTORS, interventions, media, moves, readings, table, ticks
 from rigweave.session import settle
 
 GROUPS = ["ACTION", "FEEDBACK", "CAUSALITY", "CAMERA", "INTERVENTION"]
@@ -25,7 +25,7 @@ def _by_channel(spark: SparkSession, folder: str, channels: list[str], bound: st
     entity = F.concat_ws("|", "channel", "episode_id")
     asked = _action(spark, folder).select(F.col("transition_id").alias("boundary_id"), "episode_id", F.col(bound).alias("ts"), F.explode(F.array(*[F.lit(c) for c in channels])).alias("channel"))
     asked = asked.select("boundary_id", F.when(F.col("episode_id").isNotNull(), entity).alias("entity"), "ts")
-    have = samples(spark, folder).where(F.col("channel").isin(channels) & F.col("episode_id").isNotNull()).select(entity.alias("entity"), "ts", F.col("sample_id").alias("row"), "eligible", F.col("frame_index").alias("payload"))
+    have = readings(spark, folder).where(F.col("channel").isin(channels) & F.col("episode_id").isNotNull()).select(entity.alias("entity"), "ts", F.col("sample_id").alias("row"), "eligible", F.col("frame_index").alias("payload"))
     found = strict_asof(asked, have, after)
     return found.select(F.col("boundary_id").alias("transition_id"), F.substring_index("entity", "|", 1).alias("channel"), "ts", F.col("pick_row").alias("sample_id"), "pick_ts", F.col("payload").alias("frame_index"), "any_positive")
 
@@ -77,30 +77,32 @@ def sync_transitions(spark: SparkSession, folder: str) -> DataFrame:
     action (present, positive times, finite vector); the action's intervention domain; samples before and after it and
     the cameras' frames and images; the evidence's domain and strict order.
     """
-    rows = ticks(spark, folder).where("episode_id is not null").select("episode_id", "tick", "ts_ns")
-    holes = settle(interventions(spark, folder), "interventions")
+    rows = settle(ticks(spark, folder).where("episode_id is not null").select("episode_id", "tick", "ts_ns", "head_valid"), "ticks")
+    holes = settle(interventions(spark, folder, rows), "interventions")
+    rows = rows.select("episode_id", "tick", "ts_ns")
     placed = classify_points(rows, holes, "episode_id", "ts_ns", "here")
     pair = neighbour(placed, "episode_id", "tick", {"next_row": "tick", "next_here": "here"}, after=True).where("next_row is not null")
-    acts = vectors(spark, folder).select("transition_id", F.col("episode_id").alias("a_episode"), F.col("tick").alias("a_tick"), "action")
-    times = moves(spark, folder).select("transition_id", F.col("arm_action_timestamp_ns").alias("arm_ns"), F.col("hand_action_timestamp_ns").alias("hand_ns"))
-    acts = acts.join(times, "transition_id")
+    # the vector is judged at the scan; only two flags of it travel on
+    whole = F.forall("action17", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    acts = table(spark, folder, "transitions").select(
+        "transition_id", F.col("episode_id").alias("a_episode"), F.col("source_tick_index").alias("a_tick"), F.col("arm_action_timestamp_ns").alias("arm_ns"), F.col("hand_action_timestamp_ns").alias("hand_ns"), whole.alias("whole")).distinct()
     c = pair.join(acts, (F.col("episode_id") == F.col("a_episode")) & (F.col("tick") == F.col("a_tick")), "left").select(
-        "episode_id", "tick", "here", "next_here", "transition_id", "arm_ns", "hand_ns", "action", F.least("arm_ns", "hand_ns").alias("start_ns"), F.greatest("arm_ns", "hand_ns").alias("end_ns"))
-    whole = F.forall("action", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+        "episode_id", "tick", "here", "next_here", "transition_id", "arm_ns", "hand_ns", "whole", F.least("arm_ns", "hand_ns").alias("start_ns"), F.greatest("arm_ns", "hand_ns").alias("end_ns"))
     hit = F.lit("INTERVENTION_CONTAMINATED")
     gate1 = F.when(~F.coalesce(F.col("here") == F.col("next_here"), F.lit(False)), F.array(hit))
     gate2 = reasons(
         ("ACTION_ARM_COMMAND_FLAG_INVALID", F.col("arm_ns").isNull()), ("ACTION_HAND_COMMAND_FLAG_INVALID", F.col("hand_ns").isNull()),
-        ("ACTION_ROBOT_COMMAND_FLAG_INVALID", F.col("action").isNull()), ("ACTION_TIMESTAMP_NONPOSITIVE", (F.col("arm_ns") <= 0) | (F.col("hand_ns") <= 0)), ("ACTION_NONFINITE", ~whole))
-    c = c.withColumn("first", F.coalesce(gate1, gate2)).drop("action", "arm_ns", "hand_ns")
+        ("ACTION_ROBOT_COMMAND_FLAG_INVALID", F.col("whole").isNull()), ("ACTION_TIMESTAMP_NONPOSITIVE", (F.col("arm_ns") <= 0) | (F.col("hand_ns") <= 0)), ("ACTION_NONFINITE", ~F.col("whole")))
+    c = c.withColumn("first", F.coalesce(gate1, gate2)).drop("whole", "arm_ns", "hand_ns")
     # read three times below: written once
     c = settle(c, "candidates")
     ready = c.where(F.size("first") == 0)
 
     # one long table of points per candidate: action times and all evidence, classified at once
     evidence = None
-    for channels, bound, after, side in ((["arm", "hand"], "start_ns", False, "PRE"), (["arm", "hand"], "end_ns", True, "POST"), (["head", "wrist"], "start_ns", False, "CAMERA")):
-        e = _by_channel(spark, folder, channels, bound, after).select("transition_id", F.concat_ws("_", F.upper("channel"), F.lit(side)).alias("part"), "sample_id", "pick_ts", "frame_index", "any_positive")
+    for channels, bound, after, side in ((["arm", "hand", "head", "wrist"], "start_ns", False, "PRE"), (["arm", "hand"], "end_ns", True, "POST")):
+        side = F.when(F.col("channel").isin("head", "wrist"), "CAMERA").otherwise(side)
+        e = _by_channel(spark, folder, channels, bound, after).select("transition_id", F.concat_ws("_", F.upper("channel"), side).alias("part"), "sample_id", "pick_ts", "frame_index", "any_positive")
         evidence = e if evidence is None else evidence.unionByName(e)
     evidence = ready.select("transition_id", "episode_id", "start_ns", "end_ns", "here").join(evidence, "transition_id")
     stored = media(spark, folder).select(F.col("episode_id").alias("m_episode"), F.concat(F.upper("role"), F.lit("_CAMERA")).alias("m_part"), F.col("frame_index").alias("m_frame"))

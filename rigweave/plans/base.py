@@ -56,11 +56,18 @@ VECTORS = """vectors AS (SELECT DISTINCT transition_id, episode_id, source_tick_
   state17 AS state, action17 AS action FROM transitions)"""
 
 
-def interventions(spark: SparkSession, folder: str) -> DataFrame:
+def readings(spark: SparkSession, folder: str) -> DataFrame:
+    """Channel samples for as-of joins, where a sample that arrived again changes nothing and need not be removed."""
+    camera = F.col("channel").isin("head", "wrist")
+    ok = F.coalesce(F.col("valid") & (F.col("timestamp_ns") > 0) & (~camera | (F.col("frame_index") >= 0)), F.lit(False))
+    return table(spark, folder, "channel_samples").select("sample_id", "episode_id", "channel", F.col("timestamp_ns").alias("ts"), "frame_index", ok.alias("eligible"))
+
+
+def interventions(spark: SparkSession, folder: str, known: DataFrame | None = None) -> DataFrame:
     """Stretches of at least two ticks whose head camera flag is false, as closed intervals of tick times."""
     from rigweave.operators.sequence import islands
 
-    bad = ticks(spark, folder).select("episode_id", "tick", "ts_ns", (~F.coalesce("head_valid", F.lit(True))).alias("bad"))
+    bad = (ticks(spark, folder) if known is None else known).select("episode_id", "tick", "ts_ns", (~F.coalesce("head_valid", F.lit(True))).alias("bad"))
     runs = islands(bad, "episode_id", "tick", F.col("bad") != F.col("_bad"), "run", {"_bad": "bad"})
     return runs.where("bad").groupBy("episode_id", "run").agg(F.min("ts_ns").alias("start_ns"), F.max("ts_ns").alias("end_ns"), F.count(F.lit(1)).alias("n")).where("n >= 2 and start_ns < end_ns").select("episode_id", "start_ns", "end_ns")
 
@@ -71,10 +78,10 @@ interventions AS (SELECT episode_id, min(ts_ns) AS start_ns, max(ts_ns) AS end_n
 
 def media(spark: SparkSession, folder: str) -> DataFrame:
     """Distinct stored frames: episode_id, role (head, wrist) and frame_index, by any spelling of the path."""
-    from rigweave.operators.hilbert import record_of
+    from rigweave.operators.hilbert import with_record
 
-    episode, camera, frame = record_of(F.col("rgb_path"))
-    rows = table(spark, folder, "media_files").select(episode.alias("e"), camera.alias("role"), frame.alias("frame_index")).where("e is not null and role is not null and frame_index is not null")
+    named = with_record(table(spark, folder, "media_files").select("rgb_path"), "rgb_path")
+    rows = named.select(F.col("episode").alias("e"), F.col("camera").alias("role"), F.col("frame").alias("frame_index")).where("e is not null and role is not null and frame_index is not null")
     return rows.select(F.concat(F.lit("episode_"), F.lpad(F.col("e").cast("string"), 6, "0")).alias("episode_id"), "role", "frame_index").distinct()
 
 

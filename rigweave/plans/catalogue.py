@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from rigweave.plans import alignment, data_problems, datasets, edges, motion
+from rigweave.plans import alignment, data_problems, datasets, edges, motion, reports
 
-MODULES = (alignment, motion, datasets, edges, data_problems)
+MODULES = (alignment, motion, datasets, reports, edges, data_problems)
 
 
 def queries() -> dict:
