@@ -6,7 +6,7 @@ prefix in question the words that follow it anywhere are counted, with how often
 text without a closing mark is then cut if elsewhere its wording goes on and (next to) never ends there. Besides whole
 unit prefixes, the last four and two words serve as prefixes where a whole one is too rare to tell.
 
-An open structure (JSON without its end, a half character) needs no join. Signatures and other trailing lines are known
+An open structure (JSON without its end, a bracket that the last unit leaves open, a half character) needs no join. Signatures and other trailing lines are known
 by recurring as the end of many texts; the content before them is judged as well.
 """
 
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from rigweave.session import settle
 
 TOKEN = re.compile(r"[㐀-鿿]|[^\s㐀-鿿]+")
+HAN = re.compile(r"[㐀-鿿]")
 CLOSERS = "\"'”’»)]}」』）】"
 ENDS = ".!?。！？"
 SENTENCE = re.compile(r"(?<=[.!?])[" + re.escape(CLOSERS) + r"]*\s+|(?<=[。！？])")
@@ -31,10 +32,17 @@ SENTENCE = re.compile(r"(?<=[.!?])[" + re.escape(CLOSERS) + r"]*\s+|(?<=[。！
 SMALL_LOOKUP = 1_000_000
 #: Words are matched by their first letters, at most so many, and then compared whole.
 STEM = 64
+#: So many copies need no second opinion.
+FIRM = 12
+#: A word that goes on so often, and so many times oftener than it ends, ends no text.
+OFTEN = 50
 MARKER = re.compile(r"^(?:\[\d[\d:.,/ T-]*\]\s*|[-*•#>]+\s+|\d+[.)]\s+|[A-Za-z_\"][\w\"]{0,40}:\s+)+")
 CODE = re.compile(r"^[A-Za-z]{0,3}\d+[-_]?[A-Za-z]{0,3}$")
+BRACKETS = (("(", ")"), ("[", "]"), ("（", "）"), ("「", "」"))
 LISTED = re.compile(r"^(?:[-*•]|\d+[.)])\s")
-LEVELS = (0, 4, 2, 1)  # words of context; 0 is the whole unit so far
+LEVELS = (0, 4, 2, 1, -1)  # words of context; 0 is the whole unit so far, -1 no context at all
+#: The one context of level -1: any text, any place.
+ANYWHERE = xxhash.xxh64_intdigest("anywhere") >> 1
 
 
 @lru_cache(maxsize=1 << 16)
@@ -83,11 +91,11 @@ def context(style: str, words: list[str], i: int, level: int) -> int:
 
 
 def prefixes(style: str, words: list[str]) -> Iterator[tuple[int, int]]:
-    """(position, hash of what precedes it) for each position and level; level 0 is the whole unit so far, in any style."""
+    """(position, hash of what precedes it) for each position and level but the last; level 0 is the whole unit so far, in any style."""
     whole = xxhash.xxh64()
     for i in range(len(words)):
         yield i, whole.intdigest() >> 1
-        for level in LEVELS[1:]:
+        for level in LEVELS[1:-1]:
             if i >= level:
                 yield i, context(style, words, i, level)
         whole.update("\x1f" + words[i])
@@ -99,7 +107,7 @@ def probe_hashes(style: str, words: list[str]) -> list[int]:
     whole = xxhash.xxh64()
     for w in words[:i]:
         whole.update("\x1f" + w)
-    return [whole.intdigest() >> 1, *[context(style, words, i, n) if i >= n else -1 for n in LEVELS[1:]]]
+    return [whole.intdigest() >> 1, *[context(style, words, i, n) if i >= n else -1 for n in LEVELS[1:-1]], ANYWHERE]
 
 
 def open_structure(text: str) -> bool:
@@ -125,11 +133,11 @@ def open_structure(text: str) -> bool:
     return quoted or depth > 0
 
 
-def questions(text: str | None) -> tuple[bool | None, list[dict]]:
+def questions(text: str | None, units: list[dict] | None = None) -> tuple[bool | None, list[dict]]:
     """What decides about a text: True or False where it is plain, else None and the units to look up, the last one first.
 
     Each unit: words, style of the text, marked (its kind of sentence bears a closing mark here), dots, risky (ends like a
-    decimal number cut at its point).
+    decimal number cut at its point), alone (it is a whole line).
     """
     if not text or not text.strip():
         return False, []
@@ -138,33 +146,50 @@ def questions(text: str | None) -> tuple[bool | None, list[dict]]:
     body = text.strip()
     if body[:1] in "{[" and body[-1:] in "}]":
         return False, []
-    units = units_of(body)
+    units = units_of(body) if units is None else units
     if not units:
         return False, []
     style, last, asked = style_of(units), units[-1], []
     for unit in units[-1:-3:-1]:
         # what stands before the last line is asked only where that line is a signature below unmarked text
-        if unit is not last and (unit["closed"] or unit["line"] == last["line"]):
+        if unit is not last and (unit["closed"] or unit["line"] == last["line"] or (MARKER.match(unit["raw"]) and MARKER.match(last["raw"]))):
             break
-        risky = unit["closed"] and bool(re.search(r"\d\.$", unit["raw"]))
+        raw = unit["raw"]
+        if not unit["closed"] and any(raw.count(o) > raw.count(c) for o, c in BRACKETS):
+            return True, []
+        risky = unit["closed"] and bool(re.search(r"\d\.$", raw))
         if unit["closed"] and not risky:
             break
         same = [u for u in units if u["line"] == unit["line"] and u is not unit]
-        marked = not LISTED.match(unit["raw"]) and (bool(same and same[-1]["closed"]) or (style == "marked" and len(units) > 1))
-        asked.append({"words": unit["words"], "style": style, "marked": marked, "dots": unit["dots"], "risky": risky})
+        marked = not LISTED.match(raw) and (bool(same and same[-1]["closed"]) or (style == "marked" and len(units) > 1))
+        asked.append({"words": unit["words"], "style": style, "marked": marked, "dots": unit["dots"], "risky": risky, "alone": not same})
     return (None, asked) if asked else (False, [])
 
 
-def judge(levels: list[tuple[int, int, int]], marked: bool, dots: bool, risky: bool) -> str:
+def judge(levels: list[tuple[int, int, int]], marked: bool, dots: bool, risky: bool, alone: bool = False, spaced: bool = True) -> str:
     """"cut", "whole" or "tail" (whole and recurring as an end).
 
     levels: for each of LEVELS, over all units elsewhere with the same prefix: how many ended with this last word, how
-    many went on after it, how many have a longer word that begins with it.
+    many went on after it, how many have a longer word that begins with it. alone: the unit is the whole of its line;
+    spaced: its script sets words apart.
     """
+    weak = False
     for level, (ends, on, longer) in zip(LEVELS, levels):
-        if ends + on + longer < (2 if level == 0 else 3):
+        if level < 0:
+            # without context only half words tell, and words that all but never end anything
+            if (ends + on) * 4 < longer or (spaced and on >= OFTEN and ends * OFTEN < on):
+                return "cut"
+            continue
+        if level == 0 and alone and ends and not on + longer:
+            return "tail"
+        # part of a context, where most words may end a unit or not, takes more to tell; half words are plainer
+        if ends + on + longer < (2 if level == 0 else 3 if marked or dots or not on else FIRM):
             continue
         if ends * 10 < on + longer:
+            # a few longer copies alone leave open whether such wording may end here: the next level must agree
+            if level == 0 and ends + on + longer < FIRM and not (marked or dots):
+                weak = True
+                continue
             return "cut"
         if level == 0 and ends >= 2 and ends >= on + longer:
             return "tail"
@@ -172,10 +197,10 @@ def judge(levels: list[tuple[int, int, int]], marked: bool, dots: bool, risky: b
             if ends * 2 < on + longer:
                 return "cut"
             continue
-        if longer > 0 and on == 0:
-            continue  # perhaps half a word that others broke off at as well
+        if (longer > 0 and on == 0) or (level > 0 and ends + on + longer < FIRM):
+            continue  # perhaps half a word that others broke off at as well, or too little to tell
         return "whole"
-    return "cut" if (marked or dots) and not risky else "whole"
+    return "cut" if weak or ((marked or dots) and not risky) else "whole"
 
 
 def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -183,12 +208,12 @@ def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = []
         for doc, text in zip(batch["doc_id"], batch["text"]):
             text = text if isinstance(text, str) else ""
-            verdict, asked = questions(text)
             units = units_of(text.strip())
+            verdict, asked = questions(text, units)
             style = style_of(units)
             rows.append((
                 doc, verdict, xxhash.xxh64_intdigest(text) >> 1, style, [" ".join(u["words"]) for u in units],
-                [{"last": u["words"][-1], "probes": probe_hashes(u["style"], u["words"]), "marked": u["marked"], "dots": u["dots"], "risky": u["risky"]} for u in asked],
+                [{"last": u["words"][-1], "probes": probe_hashes(u["style"], u["words"]), "marked": u["marked"], "dots": u["dots"], "risky": u["risky"], "alone": u["alone"]} for u in asked],
             ))
         yield pd.DataFrame(rows, columns=["doc_id", "verdict", "copy_key", "style", "units", "asked"])
 
@@ -196,6 +221,7 @@ def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _unfold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         at, word, ends, on = [], [], [], []
+        anywhere: dict[str, list[int]] = {}
         for style, unit, n in zip(batch["style"], batch["unit"], batch["n"]):
             words = unit.split(" ")
             final = len(words) - 1
@@ -204,6 +230,12 @@ def _unfold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 word.append(words[i])
                 ends.append(n if i == final else 0)
                 on.append(0 if i == final else n)
+            for i, w in enumerate(words):
+                anywhere.setdefault(w, [0, 0])[i != final] += n
+        at += [ANYWHERE] * len(anywhere)
+        word += anywhere
+        ends += [c[0] for c in anywhere.values()]
+        on += [c[1] for c in anywhere.values()]
         yield pd.DataFrame({"at": at, "word": word, "ends": ends, "on": on})
 
 
@@ -213,7 +245,7 @@ def find_cut(documents: DataFrame) -> DataFrame:
     documents(doc_id long, text string); other columns are ignored. Null, empty and blank texts are not cut. Equal texts
     get equal results and do not vouch for each other; an id that occurs more often is cut if any text of it is. Texts are read whole, of any length.
     """
-    schema = "doc_id long, verdict boolean, copy_key long, style string, units array<string>, asked array<struct<last:string,probes:array<long>,marked:boolean,dots:boolean,risky:boolean>>"
+    schema = "doc_id long, verdict boolean, copy_key long, style string, units array<string>, asked array<struct<last:string,probes:array<long>,marked:boolean,dots:boolean,risky:boolean,alone:boolean>>"
     parsed = settle(documents.select("doc_id", "text").mapInPandas(_parse, schema), "units")
 
     asked = parsed.where(F.size("asked") > 0).select("doc_id", "copy_key", "style", F.posexplode("asked").alias("k", "q"))
@@ -239,19 +271,19 @@ def find_cut(documents: DataFrame) -> DataFrame:
     seen = probes.join(counts, ["at", "last"]).groupBy("doc_id", "k").agg(F.collect_list(F.struct("level", "ends", "on", "longer")).alias("found"))
 
     @F.pandas_udf("string")
-    def decide(found: pd.Series, own: pd.Series, marked: pd.Series, dots: pd.Series, risky: pd.Series) -> pd.Series:
+    def decide(last: pd.Series, found: pd.Series, own: pd.Series, marked: pd.Series, dots: pd.Series, risky: pd.Series, alone: pd.Series) -> pd.Series:
         out = []
-        for rows, mine, m, d, r in zip(found, own, marked, dots, risky):
+        for word, rows, mine, m, d, r, a in zip(last, found, own, marked, dots, risky, alone):
             levels = [(0, 0, 0)] * len(LEVELS)
             for row in rows if rows is not None else []:
                 levels[row["level"]] = (max(0, row["ends"] - mine), row["on"], row["longer"])
-            out.append(judge(levels, bool(m), bool(d), bool(r)))
+            out.append(judge(levels, bool(m), bool(d), bool(r), bool(a), not HAN.match(word)))
         return pd.Series(out)
 
     # copies of one text do not vouch for its end; one-line texts of equal wording are taken as independent
     own = F.when(F.col("style") == "bare", F.lit(1)).otherwise(F.col("copies"))
     judged = asked.join(copies, asked.copy_key == copies.of_copy).join(seen, ["doc_id", "k"], "left")
-    judged = judged.select("doc_id", "k", decide("found", own, "marked", "dots", "risky").alias("j"))
+    judged = judged.select("doc_id", "k", decide("last", "found", own, "marked", "dots", "risky", "alone").alias("j"))
     first = judged.groupBy("doc_id").agg(F.max(F.when((F.col("k") == 0) & (F.col("j") != "tail"), F.col("j"))).alias("last_j"), F.max(F.when(F.col("k") == 1, F.col("j"))).alias("before_j"))
     cut = (F.coalesce("last_j", "before_j") == "cut").alias("is_cut")
     asked_docs = first.select("doc_id", F.coalesce(cut, F.lit(False)).alias("is_cut"))

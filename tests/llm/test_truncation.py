@@ -67,8 +67,8 @@ def test_units():
 
 
 def test_judge():
-    assert judge([(0, 5, 0)] + [(0, 0, 0)] * 3, False, False, False) == "cut"
-    assert judge([(4, 0, 0)] + [(0, 0, 0)] * 3, True, False, False) == "tail"
-    assert judge([(0, 0, 0)] * 4, True, False, False) == "cut"
-    assert judge([(0, 0, 0)] * 4, False, False, False) == "whole"
-    assert judge([(0, 0, 0)] * 4, True, False, True) == "whole"
+    assert judge([(0, 5, 0)] + [(0, 0, 0)] * 4, False, False, False) == "cut"
+    assert judge([(4, 0, 0)] + [(0, 0, 0)] * 4, True, False, False) == "tail"
+    assert judge([(0, 0, 0)] * 5, True, False, False) == "cut"
+    assert judge([(0, 0, 0)] * 5, False, False, False) == "whole"
+    assert judge([(0, 0, 0)] * 5, True, False, True) == "whole"
