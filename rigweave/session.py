@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -33,6 +35,7 @@ def shared_dir(spark: SparkSession) -> str:
         folder = current.get() if current.isDefined() else None
     if folder is None:
         folder = tempfile.mkdtemp(prefix="rigweave-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(folder)
     elif spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(folder)
