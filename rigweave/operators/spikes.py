@@ -256,7 +256,9 @@ def _detect(table: pa.Table, series: Series, rules: SpikeRules) -> Iterator[pa.R
         last = start + length - 1
         ends = (first[start] & before[g[start]]) | (np.r_[first[1:], True][last] & after[g[start]])
         held = np.add.reduceat(own[keep].astype(np.int64), start) > 0
-        found.append((s, keep[start[~stuck & moves & ends & held]], "d"))
+        # and whether the first row of a frozen one repeats a row that lies farther back is open too
+        begins = stuck & first[start] & before[g[start]] & own[keep][start]
+        found.append((s, keep[start[(~stuck & moves & ends & held) | begins]], "d"))
         # jumps: off the course, and back within `width` rows
         n = len(x)
         if n < 3:
@@ -418,7 +420,12 @@ def _long_runs(rows: DataFrame, open_: DataFrame, normal: DataFrame, series: Ser
     lists = [c for c in rows.columns if c.startswith("v_")]
     parts = [F.col(c) if dict(rows.dtypes)[c].startswith("array") else F.array(F.col(c).cast("double")) for c in lists]
     span = series.width // len(lists)
-    exact = F.concat(*[F.transform(F.sequence(F.lit(1), F.lit(span)), lambda i, p=p: F.get(p, i - 1)) for p in [F.coalesce(p, F.array().cast("array<double>")) for p in parts]])
+
+    def padded(part):
+        part = F.coalesce(part, F.array().cast("array<double>"))
+        return F.transform(F.sequence(F.lit(1), F.lit(span)), lambda i: F.get(part, i - 1))
+
+    exact = F.concat(*[padded(p) for p in parts])
     whose = rows.groupBy("owner").agg(F.max("source").alias("source"))
     limits = F.array(*[F.struct(F.lit(lo).alias("lo"), F.lit(hi).alias("hi")) for lo, hi in zip(series.lower, series.upper)])
     long = rows.join(open_.select("owner").distinct(), "owner").select("owner", "seq", "ident", "raw", F.posexplode(exact).alias("series", "x")).distinct()

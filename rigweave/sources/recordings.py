@@ -18,7 +18,8 @@ def discover(spark: SparkSession, folder: str) -> DataFrame:
     """path, episode_id, issue of every .npz below the folder; only names are read.
 
     issue: INVALID_EPISODE_NAME for episode_* that is no episode_NNNNNN, MISSING_MEDIA_DIRECTORY without a sibling
-    episode_NNNNNN_media holding files, null otherwise. Files of other names are ignored.
+    episode_NNNNNN_media holding files, null otherwise. Files of other names are ignored, and so are files without
+    any content, which Spark's file sources do not list.
     """
     names = lambda glob, deep: spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", deep).load(folder).select("path")
     found = names("*.npz", "false").withColumn("stem", F.regexp_extract("path", r"([^/]+)\.npz$", 1)).where(F.col("stem").startswith("episode_"))
@@ -62,7 +63,7 @@ def read_scalars(spark: SparkSession, folder: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("pathGlobFilter", "episode_[0-9][0-9][0-9][0-9][0-9][0-9].npz").load(folder)
     own = files.select("path", "content").mapInPandas(run, "episode_id string, name string, value string")
     texts = spark.read.format("binaryFile").option("pathGlobFilter", "episode_[0-9][0-9][0-9][0-9][0-9][0-9].json").load(folder)
-    side = texts.select(F.regexp_extract("path", r"([^/]+)\.json$", 1).alias("episode_id"), F.explode(F.from_json(F.decode("content", F.lit("UTF-8")), "map<string,string>")).alias("name", "side"))
+    side = texts.select(F.regexp_extract("path", r"([^/]+)\.json$", 1).alias("episode_id"), F.explode(F.from_json(F.decode("content", "UTF-8"), "map<string,string>")).alias("name", "side"))
     return own.join(side, ["episode_id", "name"], "full").select("episode_id", "name", F.coalesce("side", "value").alias("value"))
 
 

@@ -20,8 +20,8 @@ def recording(folder, number=7, n=8):
 
 def test_recordings(spark, tmp_path):
     recording(tmp_path)
-    (tmp_path / "episode_12.npz").write_bytes(b"")
-    (tmp_path / "notes.npz").write_bytes(b"")
+    (tmp_path / "episode_12.npz").write_bytes(b"x")
+    (tmp_path / "notes.npz").write_bytes(b"x")
     np.savez(tmp_path / "episode_000009.npz", timestamp_ns=np.array([5]))
     issues = {r["path"].rsplit("/", 1)[-1]: r["issue"] for r in discover(spark, str(tmp_path)).collect()}
     assert issues == {"episode_000007.npz": None, "episode_12.npz": "INVALID_EPISODE_NAME", "episode_000009.npz": "MISSING_MEDIA_DIRECTORY"}
