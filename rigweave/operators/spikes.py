@@ -4,7 +4,8 @@ What is normal is learnt per source and series. Every task sketches the sizes of
 runs in logarithmic bins, per source, hour of day and series; such sketches merge by adding counts, so partial ones are
 summed before and after the shuffle. From the merged sketch of each hour come the upper fence of its interquartile range
 and its high quantiles; a source's normal step is the largest of its hours' and its normal run the longest that is
-not set apart from the rest by a doubling. A second pass flags
+not set apart from the rest by a doubling. Where three quarters of the steps are zero (slow or coarse series), the steps
+that last tell the normal one; 0 is left to series that do not move at all. A second pass flags
   a) readings that leave their course by several normal steps and return within three rows,
   b) repeats in a run at least twice as long as any normal one, series that never move excepted,
   c) readings outside their limits.
@@ -32,7 +33,8 @@ from rigweave.session import settle
 LEAST, GROWTH, BINS = 1e-9, 1.2, 300
 #: Run lengths are exact up to RUN_EXACT, then in doubling steps.
 RUN_EXACT, RUN_BINS = 256, 300
-STEP, RUN = 0, 1
+STEP, RUN, LASTING = 0, 1, 2
+KINDS = 3
 #: A context needs so many steps to speak for itself.
 ENOUGH = 200
 
@@ -115,7 +117,18 @@ def _runs(value: np.ndarray, new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start, np.diff(np.r_[start, len(value)])
 
 
-def _sketch(table: pa.Table, series: Series) -> Iterator[pa.RecordBatch]:
+def _lasting(x: np.ndarray, g: np.ndarray, width: int) -> np.ndarray:
+    """Whether the value changes for longer than `width` rows: neither a way out that returns to where it was nor that way back."""
+    out = np.r_[False, (x[1:] != x[:-1]) & (g[1:] == g[:-1])]
+    passing = np.zeros(len(x), dtype=bool)
+    for w in range(2, width + 2):
+        same = np.flatnonzero((x[w:] == x[:-w]) & (g[w:] == g[:-w]))
+        passing[same + 1] = True
+        passing[same + w] = True
+    return out & ~passing
+
+
+def _sketch(table: pa.Table, series: Series, width: int = SpikeRules.width) -> Iterator[pa.RecordBatch]:
     """Counts by (source, hour, series, kind, bin) of the rows that belong to their block."""
     table = _once(table)
     values = _matrix(table.column("values"), series.width)
@@ -141,18 +154,20 @@ def _sketch(table: pa.Table, series: Series) -> Iterator[pa.RecordBatch]:
             size = np.r_[0.0, np.abs(np.diff(x))]
             good = ~first & (np.r_[0, np.diff(q)] == 1)
         good &= own[keep]
-        key = ((source[keep][good] * 24 + hour[keep][good]) * 2 + STEP) * BINS + step_bin(size[good])
+        key = ((source[keep][good] * 24 + hour[keep][good]) * KINDS + STEP) * BINS + step_bin(size[good])
+        stay = np.zeros(len(x), dtype=bool) if series.lag else good & _lasting(x, g, width)
+        lasting = ((source[keep][stay] * 24 + hour[keep][stay]) * KINDS + LASTING) * BINS + step_bin(size[stay])
         start, length = _runs(x if not series.lag else table.column("raw").to_numpy()[keep], first)
         mine = own[keep][start]
-        run = ((source[keep][start][mine] * 24) * 2 + RUN) * BINS + run_bin(length[mine])
-        k, n = np.unique(np.r_[key, run], return_counts=True)
+        run = ((source[keep][start][mine] * 24) * KINDS + RUN) * BINS + run_bin(length[mine])
+        k, n = np.unique(np.r_[key, lasting, run], return_counts=True)
         out.append((k, np.full(len(k), s), n))
     if not out:
         return
     k, s, n = (np.concatenate(x) for x in zip(*out))
     names = table.column("source").combine_chunks().dictionary_encode().dictionary
     yield pa.RecordBatch.from_arrays(
-        [names.take(pa.array(k // (48 * BINS))), pa.array((k // (2 * BINS) % 24).astype(np.int32)), pa.array(s.astype(np.int32)), pa.array((k // BINS % 2).astype(np.int32)), pa.array((k % BINS).astype(np.int32)), pa.array(n)],
+        [names.take(pa.array(k // (24 * KINDS * BINS))), pa.array((k // (KINDS * BINS) % 24).astype(np.int32)), pa.array(s.astype(np.int32)), pa.array((k // BINS % KINDS).astype(np.int32)), pa.array((k % BINS).astype(np.int32)), pa.array(n)],
         names=["source", "hour", "series", "kind", "bin", "n"],
     )
 
@@ -162,22 +177,34 @@ def _quantile(bins: np.ndarray, counts: np.ndarray, q: float) -> int:
     return int(bins[np.searchsorted(total, q * total[-1], side="left")])
 
 
-def normal_step(by_hour: dict[int, tuple[np.ndarray, np.ndarray]], rules: SpikeRules) -> float:
-    """The largest normal step: over hours (and all hours together) the lower of the high quantile and the fence, never below Q3.
-
-    A fence alone would cut off the tail of steps that are mostly tiny; the high quantile alone would let many spikes in.
-    """
+def _highest(by_hour: dict[int, tuple[np.ndarray, np.ndarray]], rules: SpikeRules) -> tuple[float, float]:
+    """(largest normal step, largest high quantile) over hours and all hours together."""
     whole: dict[int, int] = {}
     for bins, counts in by_hour.values():
         for b, n in zip(bins, counts):
             whole[int(b)] = whole.get(int(b), 0) + int(n)
     bins = np.array(sorted(whole))
     contexts = [(bins, np.array([whole[int(b)] for b in bins]))] + [c for c in by_hour.values() if c[1].sum() >= ENOUGH]
-    best = 0.0
+    best = top = 0.0
     for bins, counts in contexts:
         q1, q3, high = (float(step_top(_quantile(bins, counts, q))) for q in (0.25, 0.75, rules.high))
-        best = max(best, q3, min(high, q3 + rules.fence * max(q3 - q1, q3 / 2)))
-    return best
+        best, top = max(best, q3, min(high, q3 + rules.fence * max(q3 - q1, q3 / 2))), max(top, high)
+    return best, top
+
+
+def normal_step(by_hour: dict[int, tuple[np.ndarray, np.ndarray]], rules: SpikeRules, lasting: dict[int, tuple[np.ndarray, np.ndarray]] | None = None) -> float:
+    """The largest normal step: over hours (and all hours together) the lower of the high quantile and the fence, never below Q3.
+
+    A fence alone would cut off the tail of steps that are mostly tiny; the high quantile alone would let many spikes in.
+    Where Q3 is zero everywhere, the same is taken of the steps that last, or of all but the zero ones where none lasts and
+    they are no rarity. What is left is 0: a series that rests, but for single readings that leave and return.
+    """
+    best, top = _highest(by_hour, rules)
+    if best > 0:
+        return best
+    if not lasting and top > 0:
+        lasting = {h: (b[b > 0], n[b > 0]) for h, (b, n) in by_hour.items() if (b > 0).any()}
+    return _highest(lasting, rules)[0] if lasting else 0.0
 
 
 def normal_run(bins: np.ndarray, counts: np.ndarray, rules: SpikeRules) -> int:
@@ -197,8 +224,8 @@ def _normals(rules: SpikeRules, width: int):
         for s, mine in pdf.groupby("series"):
             steps, runs = mine[mine.kind == STEP], mine[mine.kind == RUN].sort_values("bin")
             if len(steps):
-                by = {h: (x.bin.to_numpy(), x.n.to_numpy()) for h, x in steps.sort_values("bin").groupby("hour")}
-                step[int(s)] = normal_step(by, rules)
+                by, stay = ({h: (x.bin.to_numpy(), x.n.to_numpy()) for h, x in m.sort_values("bin").groupby("hour")} for m in (steps, mine[mine.kind == LASTING]))
+                step[int(s)] = normal_step(by, rules, stay)
             if len(runs):
                 longest[int(s)] = normal_run(runs.bin.to_numpy(), runs.n.to_numpy(), rules)
         return pd.DataFrame({"source": [key[0]], "normal_step": [step], "normal_run": [longest]})
@@ -246,7 +273,8 @@ def _detect(table: pa.Table, series: Series, rules: SpikeRules) -> Iterator[pa.R
         first = np.r_[True, g[1:] != g[:-1]]
         start, length = _runs(x if raw is None else raw[keep], first)
         limit = np.maximum(np.ceil(rules.stretch * longest[g[start], s]), rules.least_run)
-        moves = scale[start] > 0
+        # only a frozen stretch asks whether the series ever moves; a time does
+        moves = scale[start] >= 0 if series.lag else scale[start] > 0
         stuck = (length >= limit) & moves
         in_run = np.repeat(stuck, length)
         repeat = in_run.copy()
@@ -269,7 +297,7 @@ def _detect(table: pa.Table, series: Series, rules: SpikeRules) -> Iterator[pa.R
             far = np.abs(x) > rules.jump * scale
         else:
             far[1:] = (np.abs(np.diff(x)) > rules.jump * scale[1:] * np.maximum(gap[1:], 1)) & ~first[1:]
-        for i in np.flatnonzero(far & (scale > 0)):
+        for i in np.flatnonzero(far):
             if series.lag and (i == 0 or first[i] or far[i - 1]):
                 continue
             if not first[i] and in_run[i - 1] and not series.lag:
@@ -357,9 +385,9 @@ def pack_rows(rows: DataFrame, series: Series, rules: SpikeRules) -> DataFrame:
 def profile(packed: DataFrame, series: Series, rules: SpikeRules) -> DataFrame:
     """Per source: normal_step array<double> and normal_run array<int>, by series. Rows without any known source say nothing."""
     ordered = packed.repartition("owner", "block").sortWithinPartitions("owner", "block", "seq", "ident")
-    partial = ordered.mapInArrow(grouped(["owner", "block"], lambda t: _sketch(t, series)), "source string, hour int, series int, kind int, bin int, n long")
+    partial = ordered.mapInArrow(grouped(["owner", "block"], lambda t: _sketch(t, series, rules.width)), "source string, hour int, series int, kind int, bin int, n long")
     merged = partial.groupBy("source", "hour", "series", "kind", "bin").agg(F.sum("n").alias("n"))
-    # a source's sketch has at most 24 * series * (BINS + RUN_BINS) bins, whatever the number of rows
+    # a source's sketch has at most series * (24 * 2 * BINS + RUN_BINS) bins, whatever the number of rows
     return merged.groupBy("source").applyInPandas(_normals(rules, series.width), "source string, normal_step array<double>, normal_run array<long>")
 
 

@@ -81,6 +81,23 @@ def test_a_series_that_never_moves_is_no_case(spark):
     assert found(spark, rows) == set()
 
 
+def test_a_slow_or_coarse_series_keeps_its_cases(spark):
+    rows = make(1500, ("a",))
+    for i, r in enumerate(rows):
+        r[6] = [round(0.002 * (i // 6), 6), r[6][1]]  # five steps of six are zero
+    rows[300][6] = [rows[300][6][0] + 1.0, rows[300][6][1]]
+    for i in range(601, 660):
+        rows[i][6] = [rows[600][6][0], rows[i][6][1]]
+    assert found(spark, rows) == {(rows[300][0], 0)} | {(rows[i][0], 0) for i in range(601, 660)}
+
+
+def test_a_jump_of_a_series_at_rest_is_a_case(spark):
+    rows = make(400, ("a",))
+    for i, r in enumerate(rows):
+        r[6] = [3.0 if i in (100, 101) else 1.0, r[6][1]]
+    assert found(spark, rows) == {(rows[100][0], 0), (rows[101][0], 0)}
+
+
 def test_nulls_and_odd_shapes(spark):
     rows = [[1, None, 5, "rig", 1, 0, [50.0, 0.0], "x"], [2, "a", None, None, None, None, [0.0, -50.0], "x"], [3, "a", 1, "rig", 1, 0, None, None], [4, "a", 2, "rig", 1, 0, [0.0], None], [5, "a", 3, "rig", 1, 0, [0.0, 0.0, 99.0], None], [None, "a", 4, "rig", 1, 0, [99.0, 0.0], None]]
     assert found(spark, rows) == {(1, 0), (2, 1)}
