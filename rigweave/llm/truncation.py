@@ -250,11 +250,12 @@ def find_cut(documents: DataFrame) -> DataFrame:
 
     asked = parsed.where(F.size("asked") > 0).select("doc_id", "copy_key", "style", F.posexplode("asked").alias("k", "q"))
     asked = asked.select("doc_id", "copy_key", "style", "k", "q.*")
-    copies = parsed.where(F.size("asked") > 0).groupBy("copy_key").agg(F.count(F.lit(1)).alias("copies")).withColumnRenamed("copy_key", "of_copy")
     probes = asked.select("doc_id", "k", "copy_key", "style", F.substring("last", 1, STEM).alias("stem"), "last", F.posexplode("probes").alias("level", "at")).where("`at` >= 0")
     lookups = settle(probes.select("at", "stem", "last").distinct(), "lookups")
 
-    units = parsed.select("style", F.explode("units").alias("unit")).groupBy("style", "unit").agg(F.count(F.lit(1)).alias("n"))
+    # every text speaks once, however many copies it has
+    texts = parsed.groupBy("copy_key").agg(F.first("style").alias("style"), F.first("units").alias("units"))
+    units = texts.select("style", F.explode("units").alias("unit")).groupBy("style", "unit").agg(F.count(F.lit(1)).alias("n"))
     prefix = units.mapInPandas(_unfold, "at long, word string, ends long, on long")
     places = lookups.select("at").distinct()
     if places.count() <= SMALL_LOOKUP:
@@ -271,19 +272,16 @@ def find_cut(documents: DataFrame) -> DataFrame:
     seen = probes.join(counts, ["at", "last"]).groupBy("doc_id", "k").agg(F.collect_list(F.struct("level", "ends", "on", "longer")).alias("found"))
 
     @F.pandas_udf("string")
-    def decide(last: pd.Series, found: pd.Series, own: pd.Series, marked: pd.Series, dots: pd.Series, risky: pd.Series, alone: pd.Series) -> pd.Series:
+    def decide(last: pd.Series, found: pd.Series, marked: pd.Series, dots: pd.Series, risky: pd.Series, alone: pd.Series) -> pd.Series:
         out = []
-        for word, rows, mine, m, d, r, a in zip(last, found, own, marked, dots, risky, alone):
+        for word, rows, m, d, r, a in zip(last, found, marked, dots, risky, alone):
             levels = [(0, 0, 0)] * len(LEVELS)
             for row in rows if rows is not None else []:
-                levels[row["level"]] = (max(0, row["ends"] - mine), row["on"], row["longer"])
+                levels[row["level"]] = (max(0, row["ends"] - 1), row["on"], row["longer"])
             out.append(judge(levels, bool(m), bool(d), bool(r), bool(a), not HAN.match(word)))
         return pd.Series(out)
 
-    # copies of one text do not vouch for its end; one-line texts of equal wording are taken as independent
-    own = F.when(F.col("style") == "bare", F.lit(1)).otherwise(F.col("copies"))
-    judged = asked.join(copies, asked.copy_key == copies.of_copy).join(seen, ["doc_id", "k"], "left")
-    judged = judged.select("doc_id", "k", decide("last", "found", own, "marked", "dots", "risky", "alone").alias("j"))
+    judged = asked.join(seen, ["doc_id", "k"], "left").select("doc_id", "k", decide("last", "found", "marked", "dots", "risky", "alone").alias("j"))
     first = judged.groupBy("doc_id").agg(F.max(F.when((F.col("k") == 0) & (F.col("j") != "tail"), F.col("j"))).alias("last_j"), F.max(F.when(F.col("k") == 1, F.col("j"))).alias("before_j"))
     cut = (F.coalesce("last_j", "before_j") == "cut").alias("is_cut")
     asked_docs = first.select("doc_id", F.coalesce(cut, F.lit(False)).alias("is_cut"))

@@ -72,3 +72,12 @@ def test_judge():
     assert judge([(0, 0, 0)] * 5, True, False, False) == "cut"
     assert judge([(0, 0, 0)] * 5, False, False, False) == "whole"
     assert judge([(0, 0, 0)] * 5, True, False, True) == "whole"
+
+
+def test_copies_of_a_cut_line_do_not_vouch(spark):
+    line = "Pick up the gear, turn it over and set it on the parts tr"
+    longer = [line + rest for rest in ("ay near the socket", "ay of the left cell", "ay before the next run")]
+    docs = [(i, line) for i in range(1000)] + [(1000 + i, t) for i, t in enumerate(longer)]
+    docs += [(2000 + i, f"Place towel {i} on the table") for i in range(20)]
+    got = {r["doc_id"] for r in find_cut(spark.createDataFrame(docs, "doc_id long, text string")).where("is_cut").collect()}
+    assert got == set(range(1000))
