@@ -16,8 +16,8 @@ from rigweave.session import settle
 ARM, HAND = (0, 6), (6, 17)
 #: Hand joints of a source whose sign is turned, and their places in the whole vector.
 FLIPPED = (9, 12, 14)
-#: Readings from here on are no angles; their sums would drown all others.
-ANGLE = 1e6
+#: Readings below this are added as decimals, so that a sum does not depend on the order of rows.
+EXACT = 1e15
 LAGS = {
     "state_component_skew_ns": ("abs", "arm_pre_timestamp_ns", "hand_pre_timestamp_ns"),
     "action_component_skew_ns": ("abs", "arm_action_timestamp_ns", "hand_action_timestamp_ns"),
@@ -160,7 +160,7 @@ def _elements(df: DataFrame, vector: str) -> DataFrame:
 
 def vector_summary(spark: SparkSession, folder: str) -> DataFrame:
     """Summary of the size of all elements (joint -1) and of each joint, of the state vector."""
-    e = _elements(vectors(spark, folder), "state").withColumn("v", F.abs("v")).where(F.col("v") < ANGLE)
+    e = _elements(vectors(spark, folder), "state").withColumn("v", F.abs("v"))
     both = e.select(F.explode(F.array(F.col("joint"), F.lit(-1))).alias("joint"), "v")
     return both.groupBy("joint").agg(*summary(F.col("v")))
 
@@ -189,20 +189,22 @@ def step_summary(spark: SparkSession, folder: str) -> DataFrame:
     """Per joint: sizes of state steps inside segments."""
     v = vectors(spark, folder).where("episode_id is not null").select("episode_id", "tick", "next_tick", "state")
     p = neighbour(v, "episode_id", "tick", {"p_next": "next_tick", "p_state": "state"}).where("p_next = tick")
-    e = p.select(F.posexplode(F.zip_with("state", "p_state", lambda a, b: F.abs(a - b))).alias("joint", "v")).where(F.col("v") < ANGLE)
+    e = p.select(F.posexplode(F.zip_with("state", "p_state", lambda a, b: F.abs(a - b))).alias("joint", "v")).where(F.col("v") < F.lit(float("inf")))
     return e.groupBy("joint").agg(*summary(F.col("v")))
 
 
 def sign_flip(spark: SparkSession, folder: str) -> DataFrame:
     """Sum of each action joint after the turned joints' signs are flipped."""
     v = vectors(spark, folder).select(flip(F.col("action"), FLIPPED).alias("a"))
-    return _elements(v, "a").where(F.abs("v") < 1e6).groupBy("joint").agg(F.round(F.sum("v"), 4).alias("total"), F.count(F.lit(1)).alias("n"))
+    fine = F.abs("v") < EXACT
+    exact = F.coalesce(F.sum(F.when(fine, F.col("v").cast("decimal(28,12)"))).cast("double"), F.lit(0.0))
+    return _elements(v, "a").groupBy("joint").agg(F.round(exact + F.coalesce(F.sum(F.when(~fine, F.col("v"))), F.lit(0.0)), 4).alias("total"), F.count(F.lit(1)).alias("n"))
 
 
 def float32_cast(spark: SparkSession, folder: str) -> DataFrame:
     """Largest error of 32-bit storage over the finite action vectors, and vectors that cannot be stored."""
     e = vectors(spark, folder).where("action is not null").select(float32_error(F.filter("action", lambda x: x.isNotNull())).alias("e"))
-    return e.agg(F.round(F.max(F.when(F.col("e") < 1, F.col("e"))), 12).alias("worst"), F.count_if(F.col("e").isNull()).alias("unstorable"), F.count(F.lit(1)).alias("n"))
+    return e.agg(F.round(F.max("e"), 12).alias("worst"), F.count_if(F.col("e").isNull()).alias("unstorable"), F.count(F.lit(1)).alias("n"))
 
 
 def _pixels(spark: SparkSession, folder: str) -> DataFrame:
