@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rigweave.functions.text import episode_number  # noqa: F401
 from rigweave.operators.ranking import seeded_hash, spread_rank
 from rigweave.session import settle
 
@@ -27,18 +28,6 @@ EMPTY_DIGESTS = (
 CHUNK_EDGES = 500_000
 
 
-def episode_number(ident: Column, path: Column) -> Column:
-    """The episode's number from any spelling of its id, else from the path's last directory; null if neither tells."""
-
-    def number(text: Column) -> Column:
-        # the last run of digits that no letter follows inside the file stem: 'episode-7', '/x/episode_7.npz', 'episode_7_media', '7'
-        stem = F.regexp_extract(F.lower(F.trim(text)), r"([^/\\]*)[/\\]*$", 1)
-        return F.regexp_extract(stem, r"^\D*?(\d+)(?:\D.*)?$", 1)
-
-    found = F.coalesce(F.nullif(number(ident), F.lit("")), F.nullif(number(path), F.lit("")))
-    return found.cast("long")
-
-
 def capture_digest(digest: Column) -> Column:
     """The digest in lower case, or null where it stands for no capture."""
     clean = F.lower(F.trim(digest))

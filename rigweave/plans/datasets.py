@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rigweave.functions.text import actuator_words, episode_name, frame_path, intents, normalize_instruction, redact, violations
+from rigweave.functions.text import actuator_words, episode_name, episode_number, frame_path, intents, normalize_instruction, redact, violations
 from rigweave.operators.hashrank import below_fraction
 from rigweave.operators.merging import append_new, compare_manifests, dense_ids, fingerprint
 from rigweave.operators.sequence import neighbour
@@ -112,24 +112,34 @@ def mask_exclusion(spark: SparkSession, folder: str) -> DataFrame:
     return rows.join(invalid, ["episode_id", "head_rgb_frame_index"], "left_anti").groupBy("episode_id").agg(F.count(F.lit(1)).alias("kept"))
 
 
+def _exports(spark: SparkSession, folder: str) -> DataFrame:
+    """Exported runs once each, with the six-digit number of their episode by any spelling of its id, or by the path."""
+    e = episode_number(F.col("source_episode_id"), F.col("curated_path")).cast("string")
+    rows = table(spark, folder, "source_provenance").select("provenance_id", F.when(F.length(e) < 6, F.lpad(e, 6, "0")).otherwise(e).alias("n"), "batch_no", "transition_count")
+    return rows.where("n is not null").distinct()
+
+
 def run_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     """Ticks, transitions and exported runs of every episode known to any of the three."""
     a = ticks(spark, folder).where("episode_id is not null").groupBy("episode_id").agg(F.count(F.lit(1)).alias("ticks"))
     b = _episodes(spark, folder)
-    number = F.regexp_extract(F.lower("source_episode_id"), r"episode_(\d{6})", 1)
-    c = table(spark, folder, "source_provenance").select("provenance_id", number.alias("n")).where("n <> ''").distinct().groupBy(F.concat(F.lit("episode_"), "n").alias("episode_id")).agg(F.count(F.lit(1)).alias("exports"))
+    c = _exports(spark, folder).select("provenance_id", "n").distinct().groupBy(F.concat(F.lit("episode_"), "n").alias("episode_id")).agg(F.count(F.lit(1)).alias("exports"))
     joined = a.join(b, "episode_id", "full").join(c, "episode_id", "full")
     return joined.select("episode_id", *[F.coalesce(x, F.lit(0)).alias(x) for x in ("ticks", "rows", "exports")])
 
 
 def baseline_compare(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows per episode of two successive waves, and whether the number fell or grew beyond bounds."""
-    number = F.regexp_extract(F.lower("source_episode_id"), r"episode_(\d{6})", 1)
-    rows = table(spark, folder, "source_provenance").select("provenance_id", number.alias("n"), "batch_no", "transition_count").where("n <> ''").distinct()
-    side = lambda b, c: rows.where(F.col("batch_no") == b).groupBy("n").agg(F.sum("transition_count").alias(c))
-    both = side(1, "before").join(side(2, "after"), "n", "full")
+    """Rows per episode of each wave and the one after it (`batch_no`), and whether the number fell or grew beyond bounds."""
+    rows = _exports(spark, folder).where("batch_no is not null")
+    sums = rows.groupBy("n", "batch_no").agg(F.sum("transition_count").alias("rows"))
+    # the waves that there are, each with the next: a short fixed list, whatever the number of rows
+    waves = [r["batch_no"] for r in table(spark, folder, "source_provenance").select("batch_no").where("batch_no is not null").distinct().orderBy("batch_no").collect()]
+    following = spark.createDataFrame(list(zip(waves, waves[1:])), "batch_no int, next_no int")
+    before = sums.join(F.broadcast(following), "batch_no").select("n", F.col("next_no").alias("batch_no"), F.col("rows").alias("before"))
+    after = sums.join(F.broadcast(following.select(F.col("next_no").alias("batch_no"))), "batch_no").select("n", "batch_no", F.col("rows").alias("after"))
+    both = before.join(after, ["n", "batch_no"], "full")
     status = F.when(F.col("before").isNull(), "NEW").when(F.col("after").isNull(), "GONE").when(F.col("after") < 0.8 * F.col("before"), "LOWER").when(F.col("after") > F.greatest(2 * F.col("before"), F.col("before") + 100), "HIGHER").otherwise("SAME")
-    return both.select("n", "before", "after", status.alias("status"))
+    return both.select("n", "batch_no", "before", "after", status.alias("status"))
 
 
 def status_counts(spark: SparkSession, folder: str) -> DataFrame:
