@@ -106,3 +106,16 @@ def test_merging(spark):
     a = spark.createDataFrame([("p", 1, "d"), ("q", None, "d")], "path string, size long, digest string")
     b = spark.createDataFrame([("q", None, "d"), ("r", 1, "d")], "path string, size long, digest string")
     assert {r["path"]: r["status"] for r in compare_manifests(a, b).collect()} == {"p": "MISSING", "q": "SAME", "r": "EXTRA"}
+
+
+def test_hot_keys_are_joined_like_all_others(spark):
+    from rigweave.operators.skew import join_unique
+
+    rows = [(7 if i % 3 else i % 40 if i % 5 else None, i) for i in range(600)]
+    left = spark.createDataFrame(rows, "k long, i long")
+    right = spark.createDataFrame([(k, f"v{k}") for k in range(0, 40, 2)] + [(7, "v7"), (None, "none")], "r long, v string")
+    table = {k: f"v{k}" for k in [*range(0, 40, 2), 7]}
+    for hot in (10, 10_000):
+        assert {(r["i"], r["v"]) for r in join_unique(left, "k", right, "r", "left", hot_rows=hot).collect()} == {(i, table.get(k)) for k, i in rows}
+        assert {(r["i"], r["v"]) for r in join_unique(left, "k", right, "r", hot_rows=hot).collect()} == {(i, table[k]) for k, i in rows if k in table}
+    assert join_unique(left.limit(0), "k", right, "r", hot_rows=0).count() == 0
