@@ -1,8 +1,9 @@
 """Splits that keep related records together (problem 4).
 
 Records tie to a source episode and to a raw capture; whatever is tied, directly or through other records, is one group.
-Groups are found by distributed union-find: local forests over chunks of links, merged by rounds of large-star and
-small-star steps until nothing moves. Groups then go, largest first, to the split furthest below its target; as groups of
+Groups are found by distributed union-find: local forests over chunks of links, merged hierarchically, level by level, as
+long as that shrinks them and until one chunk holds what is left; a forest too large for that is finished by rounds of
+large-star and small-star steps until nothing moves. Groups then go, largest first, to the split furthest below its target; as groups of
 one size are interchangeable, the greedy runs over the histogram of group sizes (at most sqrt(2 * rows) entries).
 """
 
@@ -18,7 +19,8 @@ from pyspark.sql import types as T
 
 from rigweave.functions.text import episode_number  # noqa: F401
 from rigweave.operators.ranking import seeded_hash, spread_rank
-from rigweave.session import settle
+from rigweave.operators.skew import HOT_ROWS, join_unique
+from rigweave.session import discard, settle, settle_at
 
 #: Digests that stand for no capture (all zeros; the digest of empty input).
 EMPTY_DIGESTS = (
@@ -56,7 +58,7 @@ def _forest(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return nodes[moved], nodes[parent[moved]]
 
 
-def local_forests(edges: DataFrame) -> DataFrame:
+def local_forests(edges: DataFrame, chunk: int = CHUNK_EDGES) -> DataFrame:
     """Replace each task's links (u, v) by the forest they span; memory is bounded by the chunk."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -69,7 +71,7 @@ def local_forests(edges: DataFrame) -> DataFrame:
         for batch in batches:
             held.append(batch)
             size += len(batch)
-            if size >= CHUNK_EDGES:
+            if size >= chunk:
                 yield flush()
                 held, size = [], 0
         if size:
@@ -78,30 +80,45 @@ def local_forests(edges: DataFrame) -> DataFrame:
     return edges.select("u", "v").mapInPandas(run, "u long, v long")
 
 
-def connected(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def connected(edges: DataFrame, most_rounds: int = 60, chunk: int = CHUNK_EDGES, hot_rows: int = HOT_ROWS) -> DataFrame:
     """(node, root): the lowest node of each node's component, for every node that has a link and is not itself the root.
 
-    edges(u long, v long); nulls and self-links are ignored, direction and repetition do not matter. Each round ends in a
-    table in the shared folder. Empty input gives no rows.
+    edges(u long, v long); nulls and self-links are ignored, direction and repetition do not matter. Each level or round ends
+    in a table in the shared folder, which the next one's end removes. A node that a large share of all links touches stays
+    spread over many tasks. Empty input gives no rows.
     """
+    spark = edges.sparkSession
     links = edges.where("u is not null and v is not null and u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    star = settle(local_forests(links).distinct(), "forest")
+    star, path = settle_at(local_forests(links, chunk).distinct(), "forest")
+    size, before = star.count(), None
+    # level by level: forests of `chunk` links at most meet in one task each, by where their lower ends lie
+    while before is None or size < 0.8 * before:
+        parts = -(-size // chunk)
+        if parts <= 1:
+            whole = settle(local_forests(star.coalesce(1), chunk), "forest")
+            discard(spark, path)
+            return whole.select(F.col("u").alias("node"), F.col("v").alias("root"))
+        merged, merged_path = settle_at(local_forests(star.repartitionByRange(parts, "v"), chunk).distinct(), "forest")
+        discard(spark, path)
+        star, path, before, size = merged, merged_path, size, merged.count()
     mark = None
     for _ in range(most_rounds):
-        # large-star: every larger neighbour of u moves to the lowest node u touches
-        both = star.unionByName(star.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), F.least("u", "m").alias("m"))
-        large = both.join(least, both.u == least.w).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = local_forests(large.where("u <> v").distinct())
+        # large-star: every link (u, v) moves to the lowest node that its lower end v touches
+        least = star.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "w")
+        large = join_unique(star, "v", least, "w", "left", size, hot_rows).select("u", F.coalesce("m", "v").alias("v"))
+        large, large_path = settle_at(local_forests(large.distinct(), chunk), "large")
         # small-star: u and its smaller neighbours all move to the lowest of them
         low = large.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "w")
-        moved = large.join(low, large.u == low.w)
+        moved = join_unique(large, "u", low, "w", "inner", size, hot_rows)
         small = moved.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select(F.col("w").alias("u"), F.col("m").alias("v")))
-        star = settle(small.where("u <> v").distinct(), "forest")
+        fresh, fresh_path = settle_at(small.where("u <> v").distinct(), "forest")
+        discard(spark, path)
+        discard(spark, large_path)
+        star, path = fresh, fresh_path
         now = star.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if tuple(now) == mark:
             return star.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        mark = tuple(now)
+        mark, size = tuple(now), now[0]
     raise RuntimeError("components did not settle")
 
 
@@ -113,16 +130,18 @@ def tie_records(records: DataFrame) -> DataFrame:
     one). A record with neither key is a group of its own (those without an id together are one); a digest without any episode
     is a group by itself. Other columns are ignored; no records give no rows.
     """
-    rows = records.select("record_id", "episode", "digest").distinct()
+    rows = settle(records.select("record_id", "episode", "digest").distinct(), "records")
+    size = rows.count()
     pairs = rows.where("episode is not null and digest is not null").select("episode", "digest").distinct()
-    lowest = pairs.groupBy("digest").agg(F.min("episode").alias("first_episode")).withColumnRenamed("digest", "of_digest")
-    edges = pairs.join(lowest, F.col("digest") == F.col("of_digest")).select(F.col("episode").alias("u"), F.col("first_episode").alias("v"))
+    lowest = settle(pairs.groupBy("digest").agg(F.min("episode").alias("first_episode")).withColumnRenamed("digest", "of_digest"), "lowest")
+    edges = join_unique(pairs, "digest", lowest, "of_digest", rows=size).select(F.col("episode").alias("u"), F.col("first_episode").alias("v"))
     roots = connected(edges)
-    placed = (
-        rows.join(lowest, rows.digest == lowest.of_digest, "left")
-        .withColumn("anchor", F.coalesce("episode", "first_episode"))
-    )
-    placed = placed.join(roots, placed.anchor == roots.node, "left").withColumn("group_episode", F.coalesce("root", "anchor"))
+    # only a record that names no episode asks its digest for one
+    none = F.lit(None).cast("long")
+    asks = F.col("episode").isNull() & F.col("digest").isNotNull()
+    lost = join_unique(rows.where(asks), "digest", lowest, "of_digest", "left", size).select("record_id", "digest", F.col("first_episode").alias("anchor"))
+    anchored = lost.unionByName(rows.where(~asks).select("record_id", "digest", F.col("episode").alias("anchor")))
+    placed = join_unique(anchored, "anchor", roots, "node", "left", size).withColumn("group_episode", F.coalesce("root", "anchor", none))
     key = F.coalesce(
         F.concat(F.lit("e:"), F.col("group_episode").cast("string")),
         F.concat(F.lit("d:"), F.col("digest")),
@@ -174,7 +193,9 @@ def assign_splits(tied: DataFrame, fractions: list[tuple[str, float]], seed: int
     histogram = {r["size"]: r["n"] for r in groups.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()}
     plan = plan_splits(histogram, [(n, f / scale) for n, f in fractions])
     schema = T.StructType([T.StructField("of_size", T.LongType()), T.StructField("from_rank", T.LongType()), T.StructField("to_rank", T.LongType()), T.StructField("split_name", T.StringType())])
-    table = tied.sparkSession.createDataFrame(plan, schema)
+    # at most a few rows for each size of group
+    table = F.broadcast(tied.sparkSession.createDataFrame(plan, schema))
     ranked = spread_rank(groups.withColumn("h", seeded_hash(seed, "group_key")), ["size"], "h", ["group_key"])
     split = ranked.join(table, (F.col("size") == F.col("of_size")) & (F.col("rank") >= F.col("from_rank")) & (F.col("rank") < F.col("to_rank")))
-    return tied.join(split.select("group_key", "split_name"), "group_key").select("record_id", "group_key", "split_name")
+    split = settle(split.select(F.col("group_key").alias("of_group"), "split_name"), "splits")
+    return join_unique(tied, "group_key", split, "of_group").select("record_id", "group_key", "split_name")

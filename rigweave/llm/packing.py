@@ -208,7 +208,6 @@ def pack(items: DataFrame, capacity: int, seed: int = 0, groups: int = GROUPS) -
     return big.unionByName(put).unionByName(none)
 
 
-def oversized(items: DataFrame, capacity: int) -> DataFrame:
-    """Items that alone exceed the capacity, by the rule that cuts them: those with more than one piece."""
-    whole = items.select("item_id", F.coalesce("size", F.lit(0)).cast("long").alias("size"))
-    return _pieces(whole, capacity).where("part = 1").select("item_id").distinct()
+def oversized(items: DataFrame, capacity: int, seed: int = 0) -> DataFrame:
+    """item_id of the items that `pack` has to cut: those of which some part but the first lies in a window."""
+    return pack(items, capacity, seed).where("part >= 1 and window_id is not null").select("item_id").distinct()

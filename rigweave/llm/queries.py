@@ -77,16 +77,18 @@ def _capacity(spark: SparkSession, folder: str) -> int:
     return _table(spark, folder, "pack_config").where("container_kind = 'token_window'").first()["capacity"]
 
 
+def _items(spark: SparkSession, folder: str) -> DataFrame:
+    return _sizes(spark, folder).select(F.col("doc_id").alias("item_id"), F.col("n_tokens").alias("size"))
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents larger than one window."""
-    items = _sizes(spark, folder).select(F.col("doc_id").alias("item_id"), F.col("n_tokens").alias("size"))
-    return oversized(items, _capacity(spark, folder)).select(F.col("item_id").alias("doc_id"))
+    """Documents that the packing has to cut, as they are larger than one window."""
+    return oversized(_items(spark, folder), _capacity(spark, folder)).select(F.col("item_id").alias("doc_id"))
 
 
 def p6_windows(spark: SparkSession, folder: str) -> DataFrame:
     """Every document, or part of an oversized one, with its window."""
-    items = _sizes(spark, folder).select(F.col("doc_id").alias("item_id"), F.col("n_tokens").alias("size"))
-    return pack(items, _capacity(spark, folder)).select(F.col("item_id").alias("doc_id"), "part", F.col("size").alias("n_tokens"), "window_id")
+    return pack(_items(spark, folder), _capacity(spark, folder)).select(F.col("item_id").alias("doc_id"), "part", F.col("size").alias("n_tokens"), "window_id")
 
 
 def _keyed_sizes(spark: SparkSession, folder: str) -> DataFrame:

@@ -107,3 +107,20 @@ def test_source_spellings(spark):
     for text in ("Review Notes", "review-notes", "REVIEW_NOTES ", "reviewnotes"):
         assert spark.range(1).select(source_key(F.lit(text)).alias("s")).first()["s"] == "reviewnotes"
     assert spark.range(1).select(source_key(F.lit(" ")).alias("s")).first()["s"] is None
+
+
+def test_budget_over_a_million_lengths_and_retries():
+    import numpy as np
+
+    from rigweave.llm.mixing import fit_lengths
+
+    lengths = np.arange(1, 1_000_001)
+    counts = np.full(1_000_000, 3)
+    budget = 777_777_777_777
+    taken = fit_lengths(lengths, counts, budget)
+    assert (taken <= counts).all() and int((taken * lengths).sum()) == budget
+    # a first program over too few tokens falls short; a larger one meets the budget
+    lengths, counts = np.array([9, 14]), np.array([3, 2])
+    assert int((fit_lengths(lengths, counts, 37, last=1) * lengths).sum()) == 37
+    # even lengths never add up to an odd budget
+    assert fit_budget({4: 100, 6: 100}, 501)[4] * 4 + fit_budget({4: 100, 6: 100}, 501)[6] * 6 == 500

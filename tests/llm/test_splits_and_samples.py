@@ -107,3 +107,29 @@ def test_sample_stays_as_data_grows(spark):
     assert {r["k"] for r in stable_sample(df, "k", 0.05, 24).collect()} != whole
     odd = spark.createDataFrame([(None,), ("x",), ("x",)], "k string")
     assert stable_sample(odd, "k", 1.0, 1).count() == 2 and stable_sample(odd, "k", 0.0, 1).count() == 0
+
+
+def _roots(edges):
+    f = Forest()
+    for a, b in edges:
+        f.join(a, b)
+    groups = defaultdict(set)
+    for x in list(f.p):
+        groups[f.find(x)].add(x)
+    return {(x, min(g)) for g in groups.values() for x in g if x != min(g)}
+
+
+@pytest.mark.parametrize("hub", [0, 10**6, None])
+def test_one_component_with_most_links_by_star_rounds(spark, hub):
+    rng = random.Random(5)
+    edges = [(hub, i) if hub is not None else (i, i + 1) for i in range(1, 900)] + [(rng.randrange(5000, 5200), rng.randrange(5000, 5200)) for _ in range(100)]
+    rng.shuffle(edges)
+    df = spark.createDataFrame(edges, "u long, v long").repartition(6)
+    # chunks and hot keys so small that no level of the hierarchy ends in one chunk and the hub counts as hot
+    assert {(r["node"], r["root"]) for r in connected(df, chunk=20, hot_rows=30).collect()} == _roots(edges)
+
+
+def test_no_capture_ties_nothing(spark):
+    rows = [(i, i, None) for i in range(500)] + [(1000 + i, None, None) for i in range(50)]
+    got = tie_records(spark.createDataFrame(rows, "record_id long, episode long, digest string")).toPandas()
+    assert len(got) == 550 and got.group_key.is_unique
