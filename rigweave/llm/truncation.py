@@ -6,8 +6,9 @@ prefix in question the words that follow it anywhere are counted, with how often
 text without a closing mark is then cut if elsewhere its wording goes on and (next to) never ends there. Besides whole
 unit prefixes, the last four and two words serve as prefixes where a whole one is too rare to tell.
 
-An open structure (JSON without its end, a bracket that the last unit leaves open, a half character) needs no join. Signatures and other trailing lines are known
-by recurring as the end of many texts; the content before them is judged as well.
+An open structure (JSON without its end, a bracket that the last unit leaves open, a half character) needs no join.
+Signatures and other trailing lines are known by recurring as the end of many texts; the content before them is judged as
+well. Every text found says by which of these ways (`why`).
 """
 
 from __future__ import annotations
@@ -16,7 +17,9 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +31,7 @@ HAN = re.compile(r"[㐀-鿿]")
 CLOSERS = "\"'”’»)]}」』）】"
 ENDS = ".!?。！？"
 SENTENCE = re.compile(r"(?<=[.!?])[" + re.escape(CLOSERS) + r"]*\s+|(?<=[。！？])")
-#: Up to so many prefixes of lookups are sent to all tasks; beyond, the same join runs by shuffle.
+#: Up to so many prefixes of lookups (8 bytes each) are sent to all tasks; beyond, the same join runs by shuffle.
 SMALL_LOOKUP = 1_000_000
 #: Words are matched by their first letters, at most so many, and then compared whole.
 STEM = 64
@@ -41,8 +44,10 @@ CODE = re.compile(r"^[A-Za-z]{0,3}\d+[-_]?[A-Za-z]{0,3}$")
 BRACKETS = (("(", ")"), ("[", "]"), ("（", "）"), ("「", "」"))
 LISTED = re.compile(r"^(?:[-*•]|\d+[.)])\s")
 LEVELS = (0, 4, 2, 1, -1)  # words of context; 0 is the whole unit so far, -1 no context at all
-#: The one context of level -1: any text, any place.
-ANYWHERE = xxhash.xxh64_intdigest("anywhere") >> 1
+#: How a text was found, by level; then by default, and without any join.
+WAYS = ("longer copies", "four words", "two words", "one word", "word anywhere")
+UNCLOSED, OPEN = "no closing mark", "open structure"
+JSON = re.compile(r'[{\[]\s*["{\[\]}]')
 
 
 @lru_cache(maxsize=1 << 16)
@@ -85,29 +90,60 @@ def style_of(units: list[dict]) -> str:
     return "marked" if closed * 2 >= len(units) - 1 else "lines"
 
 
-def context(style: str, words: list[str], i: int, level: int) -> int:
-    """63-bit hash of the `level` words before position i, among texts of one style."""
-    return xxhash.xxh64_intdigest("\x1f".join([style, str(level), *words[i - level : i]])) >> 1
+class _Hashes(dict):
+    """64-bit hash of a word, made once for each word met."""
+
+    def __missing__(self, word: str) -> int:
+        value = self[word] = xxhash.xxh64_intdigest(word)
+        return value
+
+
+_hashes = _Hashes()
+#: Odd multipliers: of a word by its distance, and of a prefix by its length.
+_BY_DISTANCE = [np.uint64(xxhash.xxh64_intdigest(f"distance {k}") | 1) for k in range(5)]
+_BY_PLACE = xxhash.xxh64_intdigest("place") | 1
 
 
-def prefixes(style: str, words: list[str]) -> Iterator[tuple[int, int]]:
-    """(position, hash of what precedes it) for each position and level but the last; level 0 is the whole unit so far, in any style."""
-    whole = xxhash.xxh64()
-    for i in range(len(words)):
-        yield i, whole.intdigest() >> 1
-        for level in LEVELS[1:-1]:
-            if i >= level:
-                yield i, context(style, words, i, level)
-        whole.update("\x1f" + words[i])
+def _mix(x: np.ndarray) -> np.ndarray:
+    """A 63-bit hash of 64-bit sums, every bit of which depends on all of theirs."""
+    for shift, by in ((33, 0xFF51AFD7ED558CCD), (29, 0xC4CEB9FE1A85EC53)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(by)
+    return ((x ^ (x >> np.uint64(32))) >> np.uint64(1)).astype(np.int64)
 
 
-def probe_hashes(style: str, words: list[str]) -> list[int]:
-    """The hash of what precedes the last word, at each level; -1 where there are fewer words."""
-    i = len(words) - 1
-    whole = xxhash.xxh64()
-    for w in words[:i]:
-        whole.update("\x1f" + w)
-    return [whole.intdigest() >> 1, *[context(style, words, i, n) if i >= n else -1 for n in LEVELS[1:-1]], ANYWHERE]
+def places(units: list[list[str]], styles: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """All words of the units in order, the unit of each, its position there, and by level but the last the hash of what precedes it.
+
+    Level 0 is the whole unit so far, in any style; the others are so many words before, among texts of one style, -1 where
+    there are fewer.
+    """
+    if len(_hashes) > 2_000_000:
+        _hashes.clear()
+    words = [w for unit in units for w in unit]
+    sizes = np.fromiter(map(len, units), np.int64, len(units))
+    unit = np.repeat(np.arange(len(units)), sizes)
+    start = np.cumsum(sizes) - sizes
+    at = np.arange(len(words)) - start[unit]
+    h = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    keys = np.full((len(LEVELS) - 1, len(words)), -1, dtype=np.int64)
+    if not len(words):
+        return words, unit, at, keys
+    # sum of the words so far, each times the place's multiplier: sums from the batch's start, less what lies before the unit
+    power = np.cumprod(np.r_[np.uint64(1), np.full(int(at.max()), _BY_PLACE, dtype=np.uint64)])
+    before = np.r_[np.uint64(0), np.cumsum(h * power[at])[:-1]]
+    keys[0] = _mix(before - before[start[unit]] + np.uint64(xxhash.xxh64_intdigest("whole")))
+    style = np.fromiter((_hashes["\x1f" + s] for s in styles), np.uint64, len(styles))[unit]
+    for row, level in enumerate(LEVELS[1:-1], 1):
+        total = style * np.uint64(2 * level + 1)
+        for k in range(1, level + 1):
+            total[k:] += h[:-k] * _BY_DISTANCE[k]
+        keys[row] = np.where(at >= level, _mix(total), -1)
+    return words, unit, at, keys
+
+
+#: What precedes the first word of every unit, and the one context of level -1: any text, any place.
+START = int(places([["x"]], [""])[3][0, 0])
+ANYWHERE = xxhash.xxh64_intdigest("anywhere") >> 1
 
 
 def open_structure(text: str) -> bool:
@@ -115,7 +151,7 @@ def open_structure(text: str) -> bool:
     body = text.strip()
     if body.endswith("�"):
         return True
-    if body[:1] not in "{[" or not re.match(r'[{\[]\s*["{\[\]}]', body):
+    if not JSON.match(body):
         return False
     depth, quoted, escaped = 0, False, False
     for c in body:
@@ -144,7 +180,7 @@ def questions(text: str | None, units: list[dict] | None = None) -> tuple[bool |
     if open_structure(text):
         return True, []
     body = text.strip()
-    if body[:1] in "{[" and body[-1:] in "}]":
+    if body[-1:] in "}]" and JSON.match(body):
         return False, []
     units = units_of(body) if units is None else units
     if not units:
@@ -167,21 +203,26 @@ def questions(text: str | None, units: list[dict] | None = None) -> tuple[bool |
 
 
 def judge(levels: list[tuple[int, int, int]], marked: bool, dots: bool, risky: bool, alone: bool = False, spaced: bool = True) -> str:
-    """"cut", "whole" or "tail" (whole and recurring as an end).
+    """"cut", "whole" or "tail" (whole and recurring as an end)."""
+    return judge_by(levels, marked, dots, risky, alone, spaced)[0]
+
+
+def judge_by(levels: list[tuple[int, int, int]], marked: bool, dots: bool, risky: bool, alone: bool = False, spaced: bool = True) -> tuple[str, str]:
+    """(judge's answer, the way by which it was found).
 
     levels: for each of LEVELS, over all units elsewhere with the same prefix: how many ended with this last word, how
     many went on after it, how many have a longer word that begins with it. alone: the unit is the whole of its line;
     spaced: its script sets words apart.
     """
     weak = False
-    for level, (ends, on, longer) in zip(LEVELS, levels):
+    for way, level, (ends, on, longer) in zip(WAYS, LEVELS, levels):
         if level < 0:
             # without context only half words tell, and words that all but never end anything
             if (ends + on) * 4 < longer or (spaced and on >= OFTEN and ends * OFTEN < on):
-                return "cut"
+                return "cut", way
             continue
         if level == 0 and alone and ends and not on + longer:
-            return "tail"
+            return "tail", way
         # part of a context, where most words may end a unit or not, takes more to tell; half words are plainer
         if ends + on + longer < (2 if level == 0 else 3 if marked or dots or not on else FIRM):
             continue
@@ -190,63 +231,90 @@ def judge(levels: list[tuple[int, int, int]], marked: bool, dots: bool, risky: b
             if level == 0 and ends + on + longer < FIRM and not (marked or dots):
                 weak = True
                 continue
-            return "cut"
+            return "cut", way
         if level == 0 and ends >= 2 and ends >= on + longer:
-            return "tail"
+            return "tail", way
         if marked or dots:
             if ends * 2 < on + longer:
-                return "cut"
+                return "cut", way
             continue
         if (longer > 0 and on == 0) or (level > 0 and ends + on + longer < FIRM):
             continue  # perhaps half a word that others broke off at as well, or too little to tell
-        return "whole"
-    return "cut" if weak or ((marked or dots) and not risky) else "whole"
+        return "whole", way
+    if weak:
+        return "cut", WAYS[0]
+    return ("cut" if (marked or dots) and not risky else "whole"), UNCLOSED
 
 
-def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        rows = []
-        for doc, text in zip(batch["doc_id"], batch["text"]):
-            text = text if isinstance(text, str) else ""
-            units = units_of(text.strip())
-            verdict, asked = questions(text, units)
-            style = style_of(units)
-            rows.append((
-                doc, verdict, xxhash.xxh64_intdigest(text) >> 1, style, [" ".join(u["words"]) for u in units],
-                [{"last": u["words"][-1], "probes": probe_hashes(u["style"], u["words"]), "marked": u["marked"], "dots": u["dots"], "risky": u["risky"], "alone": u["alone"]} for u in asked],
-            ))
-        yield pd.DataFrame(rows, columns=["doc_id", "verdict", "copy_key", "style", "units", "asked"])
-
-
-def _unfold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+_ASKED = pa.list_(pa.struct([
+    ("last", pa.string()), ("probes", pa.list_(pa.int64())), ("marked", pa.bool_()), ("dots", pa.bool_()), ("risky", pa.bool_()), ("alone", pa.bool_())]))
+
+
+def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        at, word, ends, on = [], [], [], []
-        anywhere: dict[str, list[int]] = {}
-        for style, unit, n in zip(batch["style"], batch["unit"], batch["n"]):
-            words = unit.split(" ")
-            final = len(words) - 1
-            for i, key in prefixes(style, words):
-                at.append(key)
-                word.append(words[i])
-                ends.append(n if i == final else 0)
-                on.append(0 if i == final else n)
-            for i, w in enumerate(words):
-                anywhere.setdefault(w, [0, 0])[i != final] += n
-        at += [ANYWHERE] * len(anywhere)
-        word += anywhere
-        ends += [c[0] for c in anywhere.values()]
-        on += [c[1] for c in anywhere.values()]
-        yield pd.DataFrame({"at": at, "word": word, "ends": ends, "on": on})
+        verdicts, copies, styles, units, open_, asked = [], [], [], [], [], []
+        for number, text in enumerate(batch.column(1).to_pylist()):
+            text = text or ""
+            mine = units_of(text.strip())
+            verdict, questions_ = questions(text, mine)
+            verdicts.append(verdict)
+            copies.append(xxhash.xxh64_intdigest(text) >> 1)
+            styles.append(style_of(mine))
+            units.append([" ".join(u["words"]) for u in mine])
+            asked.append([])
+            open_ += [(number, q) for q in questions_]
+        # the hashes of what precedes the last word, for all units in question at once
+        lists = [q["words"] for _, q in open_]
+        words, _, _, keys = places(lists, [q["style"] for _, q in open_])
+        last = np.cumsum([len(x) for x in lists], dtype=np.int64) - 1
+        for (number, q), at in zip(open_, last):
+            asked[number].append({"last": words[at], "probes": [*keys[:, at].tolist(), ANYWHERE], "marked": q["marked"], "dots": q["dots"], "risky": q["risky"], "alone": q["alone"]})
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(verdicts, pa.bool_()), pa.array(copies, pa.int64()), pa.array(styles, pa.string()), pa.array(units, pa.list_(pa.string())), pa.array(asked, _ASKED)],
+            names=["doc_id", "verdict", "copy_key", "style", "units", "asked"])
+
+
+def _unfold(wanted: np.ndarray | None):
+    """(what precedes, word) with how often the word ended and went on there, of distinct units; of `wanted` places only, if given."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            units = [u.split(" ") for u in batch.column(1).to_pylist()]
+            words, unit, at, keys = places(units, batch.column(0).to_pylist())
+            n = batch.column(2).to_numpy(zero_copy_only=False)[unit]
+            final = np.r_[at[1:] == 0, True]
+            code, names = pd.factorize(np.array(words, dtype=object))
+            row = [keys.ravel(), np.full(len(words), ANYWHERE)]
+            key, word = np.concatenate(row), np.tile(code, len(LEVELS))
+            count, ends = np.tile(n, len(LEVELS)), np.tile(final, len(LEVELS))
+            keep = key >= 0
+            if wanted is not None:
+                spot = np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)
+                keep &= wanted[spot] == key
+            key, word, count, ends = key[keep], word[keep], count[keep], ends[keep]
+            if not len(key):
+                continue
+            # summed inside the batch: what stands at the start of units, or anywhere, would be many rows of few kinds
+            order = np.lexsort((word, key))
+            key, word, count, ends = key[order], word[order], count[order], ends[order]
+            first = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (word[1:] != word[:-1])])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key[first]), pa.array(names).cast(pa.string()).take(pa.array(word[first])), pa.array(np.add.reduceat(np.where(ends, count, 0), first)), pa.array(np.add.reduceat(np.where(ends, 0, count), first))],
+                names=["at", "word", "ends", "on"])
+
+    return run
 
 
 def find_cut(documents: DataFrame) -> DataFrame:
-    """doc_id and is_cut for every document.
+    """doc_id, is_cut and why (null for whole texts) for every document.
 
     documents(doc_id long, text string); other columns are ignored. Null, empty and blank texts are not cut. Equal texts
     get equal results and do not vouch for each other; an id that occurs more often is cut if any text of it is. Texts are read whole, of any length.
     """
     schema = "doc_id long, verdict boolean, copy_key long, style string, units array<string>, asked array<struct<last:string,probes:array<long>,marked:boolean,dots:boolean,risky:boolean,alone:boolean>>"
-    parsed = settle(documents.select("doc_id", "text").mapInPandas(_parse, schema), "units")
+    parsed = settle(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_parse, schema), "units")
 
     asked = parsed.where(F.size("asked") > 0).select("doc_id", "copy_key", "style", F.posexplode("asked").alias("k", "q"))
     asked = asked.select("doc_id", "copy_key", "style", "k", "q.*")
@@ -256,11 +324,18 @@ def find_cut(documents: DataFrame) -> DataFrame:
     # every text speaks once, however many copies it has
     texts = parsed.groupBy("copy_key").agg(F.first("style").alias("style"), F.first("units").alias("units"))
     units = texts.select("style", F.explode("units").alias("unit")).groupBy("style", "unit").agg(F.count(F.lit(1)).alias("n"))
-    prefix = units.mapInPandas(_unfold, "at long, word string, ends long, on long")
-    places = lookups.select("at").distinct()
-    if places.count() <= SMALL_LOOKUP:
-        places = F.broadcast(places)
-    said = prefix.join(places, "at", "left_semi").groupBy("at", "word").agg(F.sum("ends").alias("ends"), F.sum("on").alias("on"))
+    where = lookups.select("at").distinct()
+    sums = [F.sum("ends").alias("ends"), F.sum("on").alias("on")]
+    shape = "at long, word string, ends long, on long"
+    asked_for = [r["at"] for r in where.limit(SMALL_LOOKUP + 1).collect()]
+    if len(asked_for) <= SMALL_LOOKUP:
+        wanted = np.array(sorted(asked_for) or [-2], dtype=np.int64)
+        said = units.mapInArrow(_unfold(wanted), shape).groupBy("at", "word").agg(*sums)
+    else:
+        # summed by place and word before they meet the lookups; the two places that all texts share need not meet them
+        said = settle(units.mapInArrow(_unfold(None), shape).groupBy("at", "word").agg(*sums), "said")
+        common = F.col("at").isin(START, ANYWHERE)
+        said = said.where(~common).join(where, "at", "left_semi").unionByName(said.where(common))
     # every beginning of a word that follows, up to STEM letters: half words meet whole ones by an equi-join
     stems = said.select("at", "word", "ends", "on", F.explode(F.sequence(F.lit(1), F.least(F.length("word"), F.lit(STEM)))).alias("cut")).withColumn("stem", F.expr("substring(word, 1, cut)"))
     met = lookups.join(stems, ["at", "stem"]).where(F.col("word").startswith(F.col("last")))
@@ -271,19 +346,20 @@ def find_cut(documents: DataFrame) -> DataFrame:
     )
     seen = probes.join(counts, ["at", "last"]).groupBy("doc_id", "k").agg(F.collect_list(F.struct("level", "ends", "on", "longer")).alias("found"))
 
-    @F.pandas_udf("string")
-    def decide(last: pd.Series, found: pd.Series, marked: pd.Series, dots: pd.Series, risky: pd.Series, alone: pd.Series) -> pd.Series:
+    @F.pandas_udf("j string, way string")
+    def decide(last: pd.Series, found: pd.Series, marked: pd.Series, dots: pd.Series, risky: pd.Series, alone: pd.Series) -> pd.DataFrame:
         out = []
         for word, rows, m, d, r, a in zip(last, found, marked, dots, risky, alone):
             levels = [(0, 0, 0)] * len(LEVELS)
             for row in rows if rows is not None else []:
                 levels[row["level"]] = (max(0, row["ends"] - 1), row["on"], row["longer"])
-            out.append(judge(levels, bool(m), bool(d), bool(r), bool(a), not HAN.match(word)))
-        return pd.Series(out)
-
-    judged = asked.join(seen, ["doc_id", "k"], "left").select("doc_id", "k", decide("last", "found", "marked", "dots", "risky", "alone").alias("j"))
-    first = judged.groupBy("doc_id").agg(F.max(F.when((F.col("k") == 0) & (F.col("j") != "tail"), F.col("j"))).alias("last_j"), F.max(F.when(F.col("k") == 1, F.col("j"))).alias("before_j"))
-    cut = (F.coalesce("last_j", "before_j") == "cut").alias("is_cut")
-    asked_docs = first.select("doc_id", F.coalesce(cut, F.lit(False)).alias("is_cut"))
-    plain = parsed.where(F.size("asked") == 0).select("doc_id", F.coalesce("verdict", F.lit(False)).alias("is_cut"))
-    return plain.unionByName(asked_docs).groupBy("doc_id").agg(F.max("is_cut").alias("is_cut"))
+            out.append(judge_by(levels, bool(m), bool(d), bool(r), bool(a), not HAN.match(word)))
+        return pd.DataFrame(out, columns=["j", "way"])
+
+    judged = asked.join(seen, ["doc_id", "k"], "left").select("doc_id", "k", decide("last", "found", "marked", "dots", "risky", "alone").alias("d")).select("doc_id", "k", "d.*")
+    pick = lambda k: F.max(F.when(k, F.struct("j", "way")))
+    first = judged.groupBy("doc_id").agg(pick((F.col("k") == 0) & (F.col("j") != "tail")).alias("last_j"), pick(F.col("k") == 1).alias("before_j"))
+    answer = first.select("doc_id", F.coalesce("last_j", "before_j").alias("a"))
+    asked_docs = answer.select("doc_id", F.coalesce(F.col("a.j") == "cut", F.lit(False)).alias("is_cut"), F.when(F.col("a.j") == "cut", F.col("a.way")).alias("why"))
+    plain = parsed.where(F.size("asked") == 0).select("doc_id", F.coalesce("verdict", F.lit(False)).alias("is_cut"), F.when(F.col("verdict"), F.lit(OPEN)).alias("why"))
+    return plain.unionByName(asked_docs).groupBy("doc_id").agg(F.max("is_cut").alias("is_cut"), F.max("why").alias("why"))

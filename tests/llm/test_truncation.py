@@ -81,3 +81,26 @@ def test_copies_of_a_cut_line_do_not_vouch(spark):
     docs += [(2000 + i, f"Place towel {i} on the table") for i in range(20)]
     got = {r["doc_id"] for r in find_cut(spark.createDataFrame(docs, "doc_id long, text string")).where("is_cut").collect()}
     assert got == set(range(1000))
+
+
+def test_lookups_by_shuffle_give_the_same(spark, monkeypatch):
+    import rigweave.llm.truncation as module
+
+    docs, _ = corpus(random.Random(9))
+    df = spark.createDataFrame(docs, "doc_id long, text string, n string")
+    near = {(r["doc_id"], r["why"]) for r in find_cut(df).collect()}
+    monkeypatch.setattr(module, "SMALL_LOOKUP", 0)
+    assert {(r["doc_id"], r["why"]) for r in find_cut(df).collect()} == near
+
+
+def test_prefix_hashes_depend_on_what_precedes():
+    from rigweave.llm.truncation import START, places
+
+    words, unit, at, keys = places([["a", "b", "c"], ["z", "b", "c"], ["a", "b"], []], ["s", "s", "t", "s"])
+    assert words == ["a", "b", "c", "z", "b", "c", "a", "b"] and at.tolist() == [0, 1, 2, 0, 1, 2, 0, 1]
+    assert keys[0, 0] == keys[0, 3] == keys[0, 6] == START and keys[0, 1] == keys[0, 7] != keys[0, 4]
+    assert keys[3, 2] == keys[3, 5] and keys[3, 1] != keys[3, 7] and keys[2, 2] != keys[2, 5] and keys[2, 1] == -1
+
+
+def test_a_log_that_begins_and_ends_with_brackets_is_asked_about():
+    assert questions("[10:00:07] gripper opened\n[10:00:09] moved to the\n[handed over by shift A]")[0] is None
