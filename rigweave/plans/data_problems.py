@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rigweave.operators.hilbert import cluster, same_record_pairs, write_shards
 from rigweave.operators.spikes import Series, SpikeRules, find_implausible, pack_rows, profile
-from rigweave.session import scratch_path
+from rigweave.session import scratch_path, settle
 
 JOINTS = 17
 #: A camera time more than an hour behind its tick is no time of that tick.
@@ -75,6 +75,20 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return same_record_pairs(_shards(spark, folder))
 
 
+def p3_members(spark: SparkSession, folder: str) -> DataFrame:
+    """Each file once, with the file that stands for its record and the number of files that hold it."""
+    return _shards(spark, folder).select("file_id", "keeper_id", "copies")
+
+
+def p3_balance(spark: SparkSession, folder: str) -> DataFrame:
+    """What must hold of the shards: files, records kept, shards beyond the least number, shards that exceed the size by a whole record."""
+    capacity = _table(spark, folder, "pack_config").where("container_kind = 'media_shard'").first()["capacity"]
+    rows = settle(_shards(spark, folder), "sharded")
+    per = rows.where("keeper").groupBy("shard_id").agg(F.count(F.lit(1)).alias("records"), F.sum("bytes").alias("bytes"), F.max("bytes").alias("largest"))
+    totals = per.agg(F.sum("records").alias("records"), (F.count(F.lit(1)) - F.ceil(F.sum("bytes") / F.lit(capacity))).alias("surplus"), F.count_if(F.col("bytes") > capacity + F.col("largest")).alias("too_large"))
+    return totals.select(F.lit(rows.count()).cast("long").alias("files"), "records", "surplus", "too_large")
+
+
 def p3_shards(spark: SparkSession, folder: str) -> DataFrame:
     """Each shard's number of records, bytes and stretch of the curve."""
     return _shards(spark, folder).where("keeper").groupBy("shard_id").agg(
@@ -87,7 +101,7 @@ def p3_written(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p2_found, p2_profile, p3_found, p3_shards, p3_written)}
+    return {f.__name__: f for f in (p2_found, p2_profile, p3_found, p3_members, p3_balance, p3_shards, p3_written)}
 
 
 #: The record's parts are read from the path as it is: the directory before the frame's 'rgb', resolved by what follows it.
@@ -105,4 +119,12 @@ def oracle_sql() -> dict[str, str]:
 WITH r AS ({RECORD}),
 k AS (SELECT file_id, content_digest, episode::BIGINT AS episode, camera, frame FROM r WHERE episode IS NOT NULL AND camera IS NOT NULL AND frame IS NOT NULL AND content_digest IS NOT NULL)
 SELECT DISTINCT a.file_id, b.file_id AS other_file_id FROM k a JOIN k b USING (episode, camera, frame, content_digest) WHERE a.file_id < b.file_id""",
+        "p3_members": f"""
+WITH r AS ({RECORD}),
+k AS (SELECT file_id, CASE WHEN episode IS NULL OR camera IS NULL OR frame IS NULL OR content_digest IS NULL THEN '#' || file_id ELSE concat_ws('|', episode::BIGINT, camera, frame, content_digest) END AS record FROM r)
+SELECT file_id, min(file_id) OVER (PARTITION BY record) AS keeper_id, count(*) OVER (PARTITION BY record) AS copies FROM k""",
+        "p3_balance": f"""
+WITH r AS ({RECORD}),
+k AS (SELECT file_id, CASE WHEN episode IS NULL OR camera IS NULL OR frame IS NULL OR content_digest IS NULL THEN '#' || file_id ELSE concat_ws('|', episode::BIGINT, camera, frame, content_digest) END AS record FROM r)
+SELECT count(DISTINCT file_id) AS files, count(DISTINCT record)::BIGINT AS records, 0::BIGINT AS surplus, 0::BIGINT AS too_large FROM k""",
     }

@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 from rigweave.operators.hilbert import cluster, code_ranges, hilbert_code, row_digests, same_record_pairs, with_codes, write_shards
 
@@ -65,3 +66,13 @@ def test_row_digest_sees_a_change(spark):
     assert row_digests(a, ["i", "s"]).first() != row_digests(b, ["i", "s"]).first()
 
 
+
+
+def test_nested_steps_up_resolve_at_any_depth(spark):
+    from rigweave.operators.hilbert import clean_path, with_record
+
+    deep = lambda n: "/data/episode_000007/media/head/rgb/" + "x/" * n + "../" * n + "000003.jpg"
+    rows = [(deep(n),) for n in (1, 4, 5, 10, 60)] + [("C:\\data\\episode_000007\\media\\head\\rgb\\a\\.\\..\\000003.JPG",), ("../../episode_7/media/head//rgb/000003.jpg",)]
+    got = with_record(spark.createDataFrame(rows, "p string"), "p").collect()
+    assert {(r["episode"], r["camera"], r["frame"]) for r in got} == {(7, "head", 3)}
+    assert spark.createDataFrame([("/a/../../b/./c//d",)], "p string").select(clean_path(F.col("p")).alias("c")).first()["c"] == "/../b/c/d"
