@@ -2,16 +2,17 @@
 
 What is normal is learnt per source and series. Every task sketches the sizes of steps (or lags) and the lengths of equal
 runs in logarithmic bins, per source, hour of day and series; such sketches merge by adding counts, so partial ones are
-summed before and after the shuffle. From the merged sketch of each hour come the upper fence of its interquartile range
-and its high quantiles; a source's normal step is the largest of its hours' and its normal run the longest that is
-not set apart from the rest by a doubling. Where three quarters of the steps are zero (slow or coarse series), the steps
+summed in every task, before and after the shuffle. From the merged sketch of each hour, and of all hours together, come the
+upper fence of its interquartile range and its high quantiles; a source's normal step is the largest of these, since an hour of
+slow motion makes no step abnormal that is normal for the source. The normal run is the longest that is not set apart from
+the rest by a doubling. Where three quarters of the steps are zero (slow or coarse series), the steps
 that last tell the normal one; 0 is left to series that do not move at all. A second pass flags
   a) readings that leave their course by several normal steps and return within three rows,
   b) repeats in a run at least twice as long as any normal one, series that never move excepted,
   c) readings outside their limits.
 Rows are cut into blocks of the sequence, with the neighbouring rows copied in, so that one long recording is spread over
-many tasks. A run that reaches past the copied rows before its length is decided is settled by an exact pass over just
-that series.
+many tasks. A run that goes on beyond a block's edge is added up over a table with one row per block, which gives each block
+the whole lengths of the runs at its edges.
 """
 
 from __future__ import annotations
@@ -23,11 +24,11 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rigweave.operators.grouped_arrow import boundaries, grouped
-from rigweave.session import settle
+from rigweave.operators.grouped_arrow import boundaries, grouped, whole_groups
+from rigweave.session import settle, tasks_for
 
 #: Sketch: bin b holds sizes in (LEAST * GROWTH**(b-1), LEAST * GROWTH**b]; bin 0 is zero, the last one has no end.
 LEAST, GROWTH, BINS = 1e-9, 1.2, 300
@@ -35,8 +36,12 @@ LEAST, GROWTH, BINS = 1e-9, 1.2, 300
 RUN_EXACT, RUN_BINS = 256, 300
 STEP, RUN, LASTING = 0, 1, 2
 KINDS = 3
+EDGE = 3
 #: A context needs so many steps to speak for itself.
 ENOUGH = 200
+HOURS = 24
+#: Sketch entries that a task holds before it hands them on.
+HELD = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -50,7 +55,7 @@ class SpikeRules:
     high: float = 0.99
     width: int = 3
     block: int = 4096
-    halo: int = 512
+    halo: int = 128
 
 
 @dataclass(frozen=True)
@@ -128,19 +133,19 @@ def _lasting(x: np.ndarray, g: np.ndarray, width: int) -> np.ndarray:
     return out & ~passing
 
 
-def _sketch(table: pa.Table, series: Series, width: int = SpikeRules.width) -> Iterator[pa.RecordBatch]:
-    """Counts by (source, hour, series, kind, bin) of the rows that belong to their block."""
-    table = _once(table)
-    values = _matrix(table.column("values"), series.width)
-    new = boundaries(table, ["owner", "block"])
-    group = np.cumsum(new) - 1
-    seq, own = table.column("seq").to_numpy(), table.column("core").to_numpy()
-    hour, source = table.column("hour").to_numpy(), _codes(table.column("source"))
-    # a block's source is the one it names anywhere
+def _owners(table: pa.Table, group: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """(index of each group's source, -1 where no row of the block names one; names): a block's source is the one it names anywhere."""
     named = np.full(group[-1] + 1, -1)
-    np.maximum.at(named, group, source)
+    np.maximum.at(named, group, _codes(table.column("source")))
+    return named, table.column("source").combine_chunks().dictionary_encode().dictionary
+
+
+def _tally(table: pa.Table, series: Series, width: int, named: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(code of source, hour, series, kind and bin; count) of the rows that belong to their block."""
+    values = _matrix(table.column("values"), series.width)
+    seq, own, hour = table.column("seq").to_numpy(), table.column("core").to_numpy(), table.column("hour").to_numpy()
     source = named[group]
-    out = []
+    codes, counts = [], []
     for s in range(series.width):
         v = values[:, s]
         keep = np.flatnonzero(~np.isnan(v) & (v >= series.lower[s]) & (v <= series.upper[s]) & (source >= 0))
@@ -154,22 +159,90 @@ def _sketch(table: pa.Table, series: Series, width: int = SpikeRules.width) -> I
             size = np.r_[0.0, np.abs(np.diff(x))]
             good = ~first & (np.r_[0, np.diff(q)] == 1)
         good &= own[keep]
-        key = ((source[keep][good] * 24 + hour[keep][good]) * KINDS + STEP) * BINS + step_bin(size[good])
+        place = ((source[keep] * HOURS + hour[keep]) * series.width + s) * KINDS
         stay = np.zeros(len(x), dtype=bool) if series.lag else good & _lasting(x, g, width)
-        lasting = ((source[keep][stay] * 24 + hour[keep][stay]) * KINDS + LASTING) * BINS + step_bin(size[stay])
         start, length = _runs(x if not series.lag else table.column("raw").to_numpy()[keep], first)
         mine = own[keep][start]
-        run = ((source[keep][start][mine] * 24) * KINDS + RUN) * BINS + run_bin(length[mine])
-        k, n = np.unique(np.r_[key, lasting, run], return_counts=True)
-        out.append((k, np.full(len(k), s), n))
-    if not out:
-        return
-    k, s, n = (np.concatenate(x) for x in zip(*out))
-    names = table.column("source").combine_chunks().dictionary_encode().dictionary
-    yield pa.RecordBatch.from_arrays(
-        [names.take(pa.array(k // (24 * KINDS * BINS))), pa.array((k // (KINDS * BINS) % 24).astype(np.int32)), pa.array(s.astype(np.int32)), pa.array((k // BINS % KINDS).astype(np.int32)), pa.array((k % BINS).astype(np.int32)), pa.array(n)],
-        names=["source", "hour", "series", "kind", "bin", "n"],
-    )
+        run = ((source[keep][start][mine] * HOURS * series.width + s) * KINDS + RUN) * BINS + run_bin(length[mine])
+        k, n = np.unique(np.r_[(place[good] + STEP) * BINS + step_bin(size[good]), (place[stay] + LASTING) * BINS + step_bin(size[stay]), run], return_counts=True)
+        codes.append(k)
+        counts.append(n)
+    return (np.concatenate(codes), np.concatenate(counts)) if codes else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+def _edges(table: pa.Table, series: Series, group: np.ndarray) -> dict[str, np.ndarray]:
+    """For each block and series, of its own readings: value (as bits) and length of the first and the last run of equal ones; length 0 without readings."""
+    values, own = _matrix(table.column("values"), series.width), table.column("core").to_numpy()
+    shape = (int(group[-1]) + 1, series.width)
+    out = {name: np.zeros(shape, dtype=np.int64) for name in ("first_value", "first_len", "last_value", "last_len", "runs")}
+    for s in range(series.width):
+        v = values[:, s]
+        keep = np.flatnonzero(own & ~np.isnan(v) & (v >= series.lower[s]) & (v <= series.upper[s]))
+        if not len(keep):
+            continue
+        # + 0.0: both zeros are one value
+        x = table.column("raw").to_numpy()[keep] if series.lag else (v[keep] + 0.0).view(np.int64)
+        g = group[keep]
+        start, length = _runs(x, np.r_[True, g[1:] != g[:-1]])
+        of = g[start]
+        first = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+        last = np.r_[first[1:], len(of)] - 1
+        at = of[first]
+        out["first_value"][at, s], out["first_len"][at, s] = x[start[first]], length[first]
+        out["last_value"][at, s], out["last_len"][at, s] = x[start[last]], length[last]
+        out["runs"][at, s] = last - first + 1
+    return out
+
+
+FIRST_PASS = pa.schema([
+    ("source", pa.string()), ("hour", pa.int32()), ("series", pa.int32()), ("kind", pa.int32()), ("bin", pa.int32()), ("n", pa.int64()), ("owner", pa.string()), ("block", pa.int64()),
+    *[(name, pa.list_(pa.int64())) for name in ("first_value", "first_len", "last_value", "last_len", "runs")]])
+FIRST_PASS_SQL = "source string, hour int, series int, kind int, bin int, n long, owner string, block long, first_value array<long>, first_len array<long>, last_value array<long>, last_len array<long>, runs array<long>"
+
+
+def _learn(series: Series, width: int):
+    """The first pass: sketch entries, summed over the task's blocks as far as they are held, and one row of edges per block (kind EDGE)."""
+
+    def entries(held: dict[str, tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        for source, (k, n) in held.items():
+            rest = [pa.nulls(len(k), f.type) for f in list(FIRST_PASS)[6:]]
+            parts = (k // (series.width * KINDS * BINS), k // (KINDS * BINS) % series.width, k // BINS % KINDS, k % BINS)
+            yield pa.RecordBatch.from_arrays([pa.array([source] * len(k), pa.string()), *[pa.array(p.astype(np.int32)) for p in parts], pa.array(n), *rest], schema=FIRST_PASS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        span = HOURS * series.width * KINDS * BINS
+        for table in whole_groups(batches, ["owner", "block"]):
+            table = _once(table)
+            new = boundaries(table, ["owner", "block"])
+            group = np.cumsum(new) - 1
+            named, names = _owners(table, group)
+            code, count = _tally(table, series, width, named, group)
+            for i in np.unique(code // span):
+                mine = code // span == i
+                k, n = code[mine] % span, count[mine]
+                name = names[int(i)].as_py()
+                if name in held:
+                    k, n = np.r_[held[name][0], k], np.r_[held[name][1], n]
+                k, at = np.unique(k, return_inverse=True)
+                held[name] = k, np.bincount(at, weights=n, minlength=len(k)).astype(np.int64)
+            if sum(len(k) for k, _ in held.values()) > HELD:
+                yield from entries(held)
+                held = {}
+            # one row of edges for each block that has rows of its own
+            real = np.zeros(group[-1] + 1, dtype=bool)
+            real[group[table.column("core").to_numpy()]] = True
+            row = pa.array(np.flatnonzero(new)[real])
+            edges = _edges(table, series, group)
+            n = len(row)
+            source = pa.array([None if i < 0 else names[int(i)].as_py() for i in named[real]], pa.string())
+            lists = [pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * series.width), pa.array(m[real].ravel())) for m in edges.values()]
+            null = pa.nulls(n, pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [source, null, null, pa.array(np.full(n, EDGE, dtype=np.int32)), null, pa.nulls(n, pa.int64()), table.column("owner").combine_chunks().take(row).cast(pa.string()), table.column("block").combine_chunks().take(row), *lists], schema=FIRST_PASS)
+        yield from entries(held)
+
+    return run
 
 
 def _quantile(bins: np.ndarray, counts: np.ndarray, q: float) -> int:
@@ -177,22 +250,28 @@ def _quantile(bins: np.ndarray, counts: np.ndarray, q: float) -> int:
     return int(bins[np.searchsorted(total, q * total[-1], side="left")])
 
 
-def _highest(by_hour: dict[int, tuple[np.ndarray, np.ndarray]], rules: SpikeRules) -> tuple[float, float]:
-    """(largest normal step, largest high quantile) over hours and all hours together."""
+def _largest(bins: np.ndarray, counts: np.ndarray, rules: SpikeRules) -> tuple[float, float]:
+    """(normal step, high quantile) of one context: the lower of the high quantile and the fence, never below Q3."""
+    q1, q3, high = (float(step_top(_quantile(bins, counts, q))) for q in (0.25, 0.75, rules.high))
+    return max(q3, min(high, q3 + rules.fence * max(q3 - q1, q3 / 2))), high
+
+
+Context = dict[int, tuple[np.ndarray, np.ndarray]]
+
+
+def _highest(by_hour: Context, rules: SpikeRules) -> tuple[float, float]:
+    """(largest normal step, largest high quantile) of all hours together and of each hour that can speak for itself."""
     whole: dict[int, int] = {}
     for bins, counts in by_hour.values():
         for b, n in zip(bins, counts):
             whole[int(b)] = whole.get(int(b), 0) + int(n)
     bins = np.array(sorted(whole))
     contexts = [(bins, np.array([whole[int(b)] for b in bins]))] + [c for c in by_hour.values() if c[1].sum() >= ENOUGH]
-    best = top = 0.0
-    for bins, counts in contexts:
-        q1, q3, high = (float(step_top(_quantile(bins, counts, q))) for q in (0.25, 0.75, rules.high))
-        best, top = max(best, q3, min(high, q3 + rules.fence * max(q3 - q1, q3 / 2))), max(top, high)
-    return best, top
+    steps, highs = zip(*(_largest(*c, rules) for c in contexts))
+    return max(steps), max(highs)
 
 
-def normal_step(by_hour: dict[int, tuple[np.ndarray, np.ndarray]], rules: SpikeRules, lasting: dict[int, tuple[np.ndarray, np.ndarray]] | None = None) -> float:
+def normal_step(by_hour: Context, rules: SpikeRules, lasting: Context | None = None) -> float:
     """The largest normal step: over hours (and all hours together) the lower of the high quantile and the fence, never below Q3.
 
     A fence alone would cut off the tail of steps that are mostly tiny; the high quantile alone would let many spikes in.
@@ -219,7 +298,7 @@ def normal_run(bins: np.ndarray, counts: np.ndarray, rules: SpikeRules) -> int:
 
 
 def _normals(rules: SpikeRules, width: int):
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         step, longest = [math.nan] * width, [0] * width
         for s, mine in pdf.groupby("series"):
             steps, runs = mine[mine.kind == STEP], mine[mine.kind == RUN].sort_values("bin")
@@ -234,21 +313,22 @@ def _normals(rules: SpikeRules, width: int):
 
 
 def _detect(table: pa.Table, series: Series, rules: SpikeRules) -> Iterator[pa.RecordBatch]:
-    """(series, record, case) of the rows that belong to their block; case 'd' marks a run whose length is undecided."""
+    """(series, record, case) of the rows that belong to their block."""
     table = _once(table)
     head = table.column("head").to_numpy()
-    new = boundaries(table, ["owner", "block"])
-    group = np.cumsum(new) - 1
+    group = np.cumsum(boundaries(table, ["owner", "block"])) - 1
     groups = int(group[-1]) + 1
     step = np.full((groups, series.width), np.nan)
     longest = np.zeros((groups, series.width), dtype=np.int64)
-    before, after = np.zeros(groups, dtype=bool), np.zeros(groups, dtype=bool)
+    # whole lengths of the run before the block's first reading, of its first and of its last; whether the first run began earlier
+    carried = np.zeros((groups, 4, series.width), dtype=np.int64)
     at = np.flatnonzero(head)
     if len(at):
-        before[group[at]] = table.column("before").to_numpy()[at]
-        after[group[at]] = table.column("after").to_numpy()[at]
         step[group[at]] = _matrix(table.column("normal_step").combine_chunks().take(pa.array(at)), series.width)
         longest[group[at]] = _matrix(table.column("normal_run").combine_chunks().take(pa.array(at)), series.width).astype(np.int64)
+        for i in at:
+            for c in table.column("carry")[int(i)].as_py() or []:
+                carried[group[i], :, c["s"]] = c["prev_total"], c["first_total"], c["last_total"], c["joined"]
     body = np.flatnonzero(~head)
     if not len(body):
         return
@@ -268,25 +348,29 @@ def _detect(table: pa.Table, series: Series, rules: SpikeRules) -> Iterator[pa.R
         keep = read[~bad]
         if not len(keep):
             continue
-        x, g, q = v[keep], group[keep], seq[keep]
+        x, g, q, mine = v[keep], group[keep], seq[keep], own[keep]
         scale = step[g, s]
         first = np.r_[True, g[1:] != g[:-1]]
         start, length = _runs(x if raw is None else raw[keep], first)
+        run_of = np.repeat(np.arange(len(start)), length)
+        # runs at the block's edges count as long as they really are
+        held = np.flatnonzero(mine)
+        begins, ends = held[np.r_[True, g[held][1:] != g[held][:-1]]], held[np.r_[g[held][1:] != g[held][:-1], True]] if len(held) else held
+        whole = length.copy()
+        np.maximum.at(whole, run_of[begins], carried[g[begins], 1, s])
+        np.maximum.at(whole, run_of[ends], carried[g[ends], 2, s])
+        near = begins[~first[begins]]
+        np.maximum.at(whole, run_of[near - 1], carried[g[near], 0, s])
         limit = np.maximum(np.ceil(rules.stretch * longest[g[start], s]), rules.least_run)
         # only a frozen stretch asks whether the series ever moves; a time does
-        moves = scale[start] >= 0 if series.lag else scale[start] > 0
-        stuck = (length >= limit) & moves
+        stuck = (whole >= limit) & (scale[start] >= 0 if series.lag else scale[start] > 0)
         in_run = np.repeat(stuck, length)
         repeat = in_run.copy()
         repeat[start] = False
+        # a first reading may repeat one that lies farther back than what was copied
+        again = begins[first[begins] & (carried[g[begins], 3, s] > 0)]
+        repeat[again] = in_run[again]
         found.append((s, keep[repeat], "b"))
-        # a shorter run of own rows that touches the end of what was copied may go on beyond it (only where rows are sparse)
-        last = start + length - 1
-        ends = (first[start] & before[g[start]]) | (np.r_[first[1:], True][last] & after[g[start]])
-        held = np.add.reduceat(own[keep].astype(np.int64), start) > 0
-        # and whether the first row of a frozen one repeats a row that lies farther back is open too
-        begins = stuck & first[start] & before[g[start]] & own[keep][start]
-        found.append((s, keep[start[(~stuck & moves & ends & held) | begins]], "d"))
         # jumps: off the course, and back within `width` rows
         n = len(x)
         if n < 3:
@@ -313,18 +397,12 @@ def _detect(table: pa.Table, series: Series, rules: SpikeRules) -> Iterator[pa.R
                     break
     series_of = np.concatenate([np.full(len(r), s) for s, r, _ in found]).astype(np.int64)
     row = np.concatenate([r for _, r, _ in found]).astype(np.int64)
-    case = np.concatenate([np.full(len(r), ord(c)) for _, r, c in found])
-    mine = own[row] | (case == ord("d"))
-    series_of, row, case = series_of[mine], row[mine], case[mine]
-    owner = rows.column("owner").combine_chunks().take(pa.array(row))
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(series_of.astype(np.int32)), pa.array(ident[row]), owner.cast(pa.string()), pa.array([chr(c) for c in case], type=pa.string())],
-        names=["series", "record_id", "owner", "case"],
-    )
+    series_of, row = series_of[own[row]], row[own[row]]
+    yield pa.RecordBatch.from_arrays([pa.array(series_of.astype(np.int32)), pa.array(ident[row])], names=["series", "record_id"])
 
 
-def _pack(width: int, halo: int, block: int):
-    """Before the shuffle: drop repeats within the batch, pack readings into binary, copy rows near a block's edge."""
+def _pack(width: int, halo: int, block: int, lowest: int):
+    """Before the shuffle: drop repeats within the batch, pack readings into binary, copy rows near a block's edge. No block lies below `lowest`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -357,7 +435,7 @@ def _pack(width: int, halo: int, block: int):
             seq = table.column("seq").to_numpy()
             home = seq // block
             copies = [(np.arange(n), home, True)]
-            before, after = np.flatnonzero(seq - home * block < halo), np.flatnonzero((home + 1) * block - seq <= halo)
+            before, after = np.flatnonzero((seq - home * block < halo) & (home > lowest)), np.flatnonzero((home + 1) * block - seq <= halo)
             copies += [(before, home[before] - 1, False), (after, home[after] + 1, False)]
             take = np.concatenate([c[0] for c in copies])
             target = np.concatenate([c[1] for c in copies])
@@ -379,19 +457,67 @@ PACKED = "owner string, block long, seq long, ident long, source string, hour in
 
 def pack_rows(rows: DataFrame, series: Series, rules: SpikeRules) -> DataFrame:
     """Rows as the two passes read them: one binary of readings a row, copied into the blocks that need them."""
-    return rows.mapInArrow(_pack(series.width, rules.halo, rules.block), PACKED)
+    # places count from 0 as a rule; one look at the column's least value saves copies into blocks that are not there
+    least = rows.agg(F.min("seq")).first()[0] or 0
+    return rows.mapInArrow(_pack(series.width, rules.halo, rules.block, least // rules.block), PACKED)
+
+
+def _ordered(packed: DataFrame, tasks: int) -> DataFrame:
+    return packed.repartition(tasks, "owner", "block").sortWithinPartitions("owner", "block", "seq", "ident")
+
+
+#: Bytes shuffled for a byte of the plan's estimate (compressed columns become packed doubles).
+GROWTH_OF_ROWS = 3.0
 
 
-def profile(packed: DataFrame, series: Series, rules: SpikeRules) -> DataFrame:
-    """Per source: normal_step array<double> and normal_run array<int>, by series. Rows without any known source say nothing."""
-    ordered = packed.repartition("owner", "block").sortWithinPartitions("owner", "block", "seq", "ident")
-    partial = ordered.mapInArrow(grouped(["owner", "block"], lambda t: _sketch(t, series, rules.width)), "source string, hour int, series int, kind int, bin int, n long")
-    merged = partial.groupBy("source", "hour", "series", "kind", "bin").agg(F.sum("n").alias("n"))
+def first_pass(packed: DataFrame, series: Series, rules: SpikeRules, tasks: int) -> DataFrame:
+    """Sketch entries (kind below EDGE) and one row of run edges per block."""
+    return settle(_ordered(packed, tasks).mapInArrow(_learn(series, rules.width), FIRST_PASS_SQL), "learned")
+
+
+def normals(learned: DataFrame, series: Series, rules: SpikeRules) -> DataFrame:
+    """Per source: normal_step array<double> and normal_run array<long>, by series."""
+    merged = learned.where(F.col("kind") < EDGE).groupBy("source", "hour", "series", "kind", "bin").agg(F.sum("n").alias("n"))
     # a source's sketch has at most series * (24 * 2 * BINS + RUN_BINS) bins, whatever the number of rows
     return merged.groupBy("source").applyInPandas(_normals(rules, series.width), "source string, normal_step array<double>, normal_run array<long>")
 
 
-def _binary(column: str, width: int):
+def profile(packed: DataFrame, series: Series, rules: SpikeRules, tasks: int | None = None) -> DataFrame:
+    """Per source: normal_step array<double> and normal_run array<long>, by series. Rows without any known source say nothing."""
+    learned = first_pass(packed, series, rules, tasks or tasks_for(packed, GROWTH_OF_ROWS))
+    return normals(learned, series, rules)
+
+
+def carried_runs(edges: DataFrame, whose: DataFrame, normal: DataFrame, series: Series, rules: SpikeRules) -> DataFrame:
+    """(owner, block, carry): of each block's series the frozen runs that touch its edges, with their whole lengths over all blocks.
+
+    Blocks of an owner are one row each here, so a run is added up over any number of them. Only series that move and runs
+    long enough to be a case are carried; all others are decided inside the block.
+    """
+    several = edges.groupBy(F.col("owner").alias("o")).agg(F.count(F.lit(1)).alias("blocks")).where("blocks > 1").select("o")
+    lists = ("first_value", "first_len", "last_value", "last_len", "runs")
+    long = edges.join(several, F.col("owner") == F.col("o"), "left_semi").select("owner", "block", F.posexplode(F.arrays_zip(*lists)).alias("s", "e")).select("owner", "block", "s", *[f"e.{c}" for c in lists]).where("runs > 0")
+    order = Window.partitionBy("owner", "s").orderBy("block")
+    joined = F.coalesce(F.col("first_value") == F.lag("last_value").over(order), F.lit(False))
+    long = long.withColumn("joined", joined)
+    # a new chain of equal readings begins at a first run that goes on from nothing, and after a first run that is not the last
+    steps = F.sum((~F.col("joined")).cast("long")).over(order) + F.coalesce(F.sum((F.col("runs") > 1).cast("long")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    long = long.withColumn("c_first", steps).withColumn("c_last", F.col("c_first") + (F.col("runs") > 1).cast("long"))
+    pieces = long.select("owner", "s", F.explode(F.array(F.struct(F.col("c_first").alias("c"), F.col("first_len").alias("len")), F.when(F.col("runs") > 1, F.struct(F.col("c_last").alias("c"), F.col("last_len").alias("len"))))).alias("p")).where("p is not null")
+    totals = pieces.groupBy("owner", "s", "p.c").agg(F.sum("p.len").alias("total"))
+    of = lambda name: totals.select(F.col("owner"), F.col("s"), F.col("c").alias(f"c_{name}"), F.col("total").alias(f"{name}_total"))
+    met = long.join(of("first"), ["owner", "s", "c_first"]).join(of("last"), ["owner", "s", "c_last"])
+    met = met.withColumn("prev_total", F.coalesce(F.lag("last_total").over(order), F.lit(0)))
+    limits = normal.select(F.col("source"), F.posexplode(F.arrays_zip("normal_step", "normal_run")).alias("s", "l")).select(
+        "source", "s", F.greatest(F.ceil(F.lit(rules.stretch) * F.col("l.normal_run")), F.lit(rules.least_run)).alias("limit"), (F.col("l.normal_step") >= 0 if series.lag else F.col("l.normal_step") > 0).alias("moves")).where("moves")
+    judged = met.join(whose, "owner").join(limits, ["source", "s"])
+    frozen = ((F.col("first_total") >= F.col("limit")) & F.col("joined")) | ((F.col("first_total") >= F.col("limit")) & (F.col("first_total") > F.col("first_len"))) | (
+        (F.col("last_total") >= F.col("limit")) & (F.col("last_total") > F.col("last_len"))) | (F.col("prev_total") >= F.col("limit"))
+    # at most one entry for each series of a block
+    return judged.where(frozen).groupBy("owner", "block").agg(F.collect_list(F.struct("s", "prev_total", "first_total", "last_total", F.col("joined").cast("long").alias("joined"))).alias("carry"))
+
+
+def _binary(column: str | Column):
     @F.pandas_udf("binary")
     def pack(values: pd.Series) -> pd.Series:
         return pd.Series([np.asarray(v, dtype="<f8").tobytes() for v in values])
@@ -414,56 +540,25 @@ def find_implausible(rows: DataFrame, series: Series, rules: SpikeRules = SpikeR
     alone = F.concat(F.lit("\u0001"), F.col("ident").cast("string"))
     placed = F.col("owner").isNotNull() & F.col("seq").isNotNull()
     rows = rows.withColumn("owner", F.when(placed, F.col("owner")).otherwise(alone)).withColumn("seq", F.coalesce(F.when(placed, F.col("seq")), F.lit(0)).cast("long"))
-    rows = rows.withColumn("hour", F.coalesce("hour", F.lit(0)).cast("int")).withColumn("raw", F.coalesce("raw", F.lit(0)).cast("long"))
+    rows = rows.withColumn("hour", F.pmod(F.coalesce("hour", F.lit(0)), F.lit(HOURS)).cast("int")).withColumn("raw", F.coalesce("raw", F.lit(0)).cast("long"))
+    tasks = tasks_for(rows, GROWTH_OF_ROWS)
     packed = pack_rows(rows, series, rules)
-    normal = settle(profile(packed, series, rules), "normals")
-
-    # each block gets its source's normals as a first row; small rows travel, the wide ones are shuffled once more only
-    narrow = rows.select("owner", F.floor(F.col("seq") / rules.block).cast("long").alias("b"), (F.col("seq") % rules.block).alias("r"), "source")
-    blocks = narrow.groupBy("owner", "b").agg(F.max("source").alias("source"), F.min("r").alias("lo"), F.max("r").alias("hi"))
-    whose = blocks.groupBy("owner").agg(F.max("source").alias("source"), F.min("b").alias("low_b"), F.max("b").alias("high_b"))
-    near = F.array_compact(F.array(F.col("b"), F.when(F.col("lo") < rules.halo, F.col("b") - 1), F.when(F.col("hi") >= rules.block - rules.halo, F.col("b") + 1)))
-    head = blocks.select("owner", F.explode(near).alias("block")).distinct().join(whose, "owner").join(normal, "source")
+    learned = first_pass(packed, series, rules, tasks)
+    normal = settle(normals(learned, series, rules), "normals")
+
+    # each block gets its source's normals and its carried runs as a first row; the wide rows are shuffled once more only
+    edges = learned.where(F.col("kind") == EDGE)
+    whose = edges.groupBy("owner").agg(F.max("source").alias("source"))
+    carry = carried_runs(edges, whose, normal, series, rules)
+    head = edges.select("owner", "block").join(whose, "owner").join(normal.select("source", _binary(F.col("normal_step")).alias("normal_step"), _binary(F.col("normal_run").cast("array<double>")).alias("normal_run")), "source")
+    head = head.join(carry, ["owner", "block"], "left")
+    kind = dict(head.dtypes)["carry"]
     none = lambda kind: F.lit(None).cast(kind)
     head = head.select(
         "owner", "block", F.lit(-(2**62)).alias("seq"), F.lit(-(2**62)).alias("ident"), "source", F.lit(0).alias("hour"), F.lit(0).cast("long").alias("raw"), none("binary").alias("values"),
-        F.lit(False).alias("core"), F.lit(True).alias("head"), (F.col("block") > F.col("low_b")).alias("before"), (F.col("block") < F.col("high_b")).alias("after"), _binary("normal_step", series.width).alias("normal_step"),
-        _binary("normal_run", series.width).alias("normal_run"),
-    )
-    body = packed.withColumns({"head": F.lit(False), "before": F.lit(False), "after": F.lit(False), "normal_step": none("binary"), "normal_run": none("binary")})
-    ordered = head.unionByName(body).repartition("owner", "block").sortWithinPartitions("owner", "block", "seq", "ident")
-    flagged = settle(ordered.mapInArrow(grouped(["owner", "block"], lambda t: _detect(t, series, rules)), "series int, record_id long, owner string, case string"), "flags")
-
+        F.lit(False).alias("core"), F.lit(True).alias("head"), "normal_step", "normal_run", "carry")
+    body = packed.withColumns({"head": F.lit(False), "normal_step": none("binary"), "normal_run": none("binary"), "carry": none(kind)})
+    flagged = _ordered(head.unionByName(body), tasks).mapInArrow(grouped(["owner", "block"], lambda t: _detect(t, series, rules)), "series int, record_id long")
     names = F.array(*[F.lit(n) for n in series.names])
     members = F.array(*[F.lit(m) for m in series.members])
-    result = flagged.where("case <> 'd'").select("series", "record_id")
-    open_ = flagged.where("case = 'd'").select("owner", "series").distinct()
-    if not open_.isEmpty():
-        result = result.unionByName(_long_runs(rows, open_, normal, series, rules))
-    return result.distinct().select(names[F.col("series")].alias("field_name"), "record_id", members[F.col("series")].cast("int").alias("joint"))
-
-
-def _long_runs(rows: DataFrame, open_: DataFrame, normal: DataFrame, series: Series, rules: SpikeRules) -> DataFrame:
-    """Case b for the few series with runs that outlast the copied rows, by windows over the whole sequence."""
-    lists = [c for c in rows.columns if c.startswith("v_")]
-    parts = [F.col(c) if dict(rows.dtypes)[c].startswith("array") else F.array(F.col(c).cast("double")) for c in lists]
-    span = series.width // len(lists)
-
-    def padded(part):
-        part = F.coalesce(part, F.array().cast("array<double>"))
-        return F.transform(F.sequence(F.lit(1), F.lit(span)), lambda i: F.get(part, i - 1))
-
-    exact = F.concat(*[padded(p) for p in parts])
-    whose = rows.groupBy("owner").agg(F.max("source").alias("source"))
-    limits = F.array(*[F.struct(F.lit(lo).alias("lo"), F.lit(hi).alias("hi")) for lo, hi in zip(series.lower, series.upper)])
-    long = rows.join(open_.select("owner").distinct(), "owner").select("owner", "seq", "ident", "raw", F.posexplode(exact).alias("series", "x")).distinct()
-    long = long.join(open_, ["owner", "series"]).join(whose, "owner").join(normal, "source").where("x is not null").withColumn("limit", limits[F.col("series")])
-    long = long.where((F.col("x") >= F.col("limit.lo")) & (F.col("x") <= F.col("limit.hi")))
-    same = F.col("raw") if series.lag else F.col("x")
-    order = Window.partitionBy("owner", "series").orderBy("seq", "ident")
-    long = long.withColumn("new", F.coalesce((same != F.lag(same).over(order)).cast("int"), F.lit(1))).withColumn("run", F.sum("new").over(order))
-    sizes = long.groupBy("owner", "series", "run").agg(F.count(F.lit(1)).alias("n"))
-    normal_run = F.get("normal_run", F.col("series"))
-    moves = F.lit(True) if series.lag else F.get("normal_step", F.col("series")) > 0
-    long = long.join(sizes, ["owner", "series", "run"]).where((F.col("new") == 0) & moves & (F.col("n") >= F.greatest(F.ceil(F.lit(rules.stretch) * normal_run), F.lit(rules.least_run))))
-    return long.select("series", F.col("ident").alias("record_id"))
+    return flagged.distinct().select(names[F.col("series")].alias("field_name"), "record_id", members[F.col("series")].cast("int").alias("joint"))

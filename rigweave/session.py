@@ -97,5 +97,7 @@ def tasks_for(df: DataFrame, growth: float = 1.0) -> int:
     growth: bytes shuffled for a byte of the estimate. Never fewer than spark.sql.shuffle.partitions.
     """
     spark = df.sparkSession
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(100_000, math.ceil(size * growth / TASK_BYTES)))
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    # an estimate beyond any data means that the plan does not know
+    wanted = math.ceil(size * growth / TASK_BYTES) if size < 2**58 else 0
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(100_000, wanted))

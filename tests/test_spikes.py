@@ -131,3 +131,39 @@ def test_sketch_bins():
     assert b[0] == 0 and (np.diff(b) >= 0).all()
     assert 0.5 <= step_top(b[2]) <= 0.5 * 1.2000001
     assert normal_run(np.array([1, 2, 3, 40]), np.array([900, 60, 5, 1]), SpikeRules()) == 3
+
+
+def test_values_held_for_rows_hide_neither_spike_nor_freeze(spark):
+    rng = random.Random(11)
+    rows, want, ident = [], set(), 0
+    for o in range(3):
+        x, left = 0.0, 0
+        for i in range(9000):
+            if not left:
+                x, left = max(-5, min(5, round(x + rng.uniform(0.005, 0.015) * rng.choice((-1, 1)), 6))), rng.randrange(5, 9)
+            left -= 1
+            value = x
+            if o == 0 and i == 2000:
+                value = x + 5.0 if x < 0 else x - 5.0
+                want.add((ident, 0))
+            if o == 1 and 3000 <= i < 7000:
+                if i == 3000:
+                    frozen, left = x, 8
+                value, left = frozen, max(left, 1)
+            rows.append([ident, f"o{o}", i, "rig", i // 400 % 24, 0, [value, 0.0], None])
+            ident += 1
+    first = next(k for k in range(9000 + 3000, 0, -1) if rows[k - 1][6][0] != rows[9000 + 3000][6][0])
+    last = next(k for k in range(9000 + 6999, 18000) if rows[k + 1][6][0] != rows[9000 + 3000][6][0])
+    want |= {(rows[k][0], 0) for k in range(first + 1, last + 1)}
+    assert found(spark, rows) == want
+
+
+@pytest.mark.parametrize("halo", [4, 128])
+def test_a_frozen_stretch_over_many_blocks_is_found_whole(spark, halo):
+    rows = make(1500, ("a",))
+    for i in range(130, 1300):
+        rows[i][6] = [rows[130][6][0], rows[i][6][1]]
+        if i % 7 == 0:
+            rows[i][6] = [None, rows[i][6][1]]
+    want = {(rows[i][0], 0) for i in range(131, 1300) if i % 7}
+    assert found(spark, rows, SpikeRules(block=64, halo=halo)) == want
