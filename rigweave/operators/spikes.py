@@ -494,9 +494,8 @@ def carried_runs(edges: DataFrame, whose: DataFrame, normal: DataFrame, series:
     Blocks of an owner are one row each here, so a run is added up over any number of them. Only series that move and runs
     long enough to be a case are carried; all others are decided inside the block.
     """
-    several = edges.groupBy(F.col("owner").alias("o")).agg(F.count(F.lit(1)).alias("blocks")).where("blocks > 1").select("o")
     lists = ("first_value", "first_len", "last_value", "last_len", "runs")
-    long = edges.join(several, F.col("owner") == F.col("o"), "left_semi").select("owner", "block", F.posexplode(F.arrays_zip(*lists)).alias("s", "e")).select("owner", "block", "s", *[f"e.{c}" for c in lists]).where("runs > 0")
+    long = edges.join(whose.where("blocks > 1").select(F.col("owner").alias("o")), F.col("owner") == F.col("o"), "left_semi").select("owner", "block", F.posexplode(F.arrays_zip(*lists)).alias("s", "e")).select("owner", "block", "s", *[f"e.{c}" for c in lists]).where("runs > 0")
     order = Window.partitionBy("owner", "s").orderBy("block")
     joined = F.coalesce(F.col("first_value") == F.lag("last_value").over(order), F.lit(False))
     long = long.withColumn("joined", joined)
@@ -548,11 +547,14 @@ def find_implausible(rows: DataFrame, series: Series, rules: SpikeRules = SpikeR
 
     # each block gets its source's normals and its carried runs as a first row; the wide rows are shuffled once more only
     edges = learned.where(F.col("kind") == EDGE)
-    whose = edges.groupBy("owner").agg(F.max("source").alias("source"))
-    carry = carried_runs(edges, whose, normal, series, rules)
+    whose = settle(edges.groupBy("owner").agg(F.max("source").alias("source"), F.count(F.lit(1)).alias("blocks")), "owners")
     head = edges.select("owner", "block").join(whose, "owner").join(normal.select("source", _binary(F.col("normal_step")).alias("normal_step"), _binary(F.col("normal_run").cast("array<double>")).alias("normal_run")), "source")
-    head = head.join(carry, ["owner", "block"], "left")
-    kind = dict(head.dtypes)["carry"]
+    kind = "array<struct<s:int,prev_total:bigint,first_total:bigint,last_total:bigint,joined:bigint>>"
+    if whose.where("blocks > 1").isEmpty():
+        # no sequence goes on into a second block, so no run can
+        head = head.withColumn("carry", F.lit(None).cast(kind))
+    else:
+        head = head.join(carried_runs(edges, whose, normal, series, rules), ["owner", "block"], "left")
     none = lambda kind: F.lit(None).cast(kind)
     head = head.select(
         "owner", "block", F.lit(-(2**62)).alias("seq"), F.lit(-(2**62)).alias("ident"), "source", F.lit(0).alias("hour"), F.lit(0).cast("long").alias("raw"), none("binary").alias("values"),
