@@ -9,7 +9,7 @@ from rigweave.functions.text import actuator_words, episode_name, episode_number
 from rigweave.operators.hashrank import below_fraction
 from rigweave.operators.merging import append_new, compare_manifests, dense_ids, fingerprint
 from rigweave.operators.sequence import neighbour
-from rigweave.operators.stats import close_enough, zero_filled
+from rigweave.operators.stats import close_enough, quantiles, zero_filled
 from rigweave.plans.base import MEDIA, MOVES, SAMPLES, TICKS, media, moves, samples, table, ticks
 
 
@@ -41,7 +41,7 @@ def review_sample(spark: SparkSession, folder: str) -> DataFrame:
 def confidence_percentiles(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select(((F.col("doc_id") * 37) % 1000 / 1000.0).alias("c"))
     points = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 1.0]
-    p = docs.agg(F.percentile("c", F.array(*[F.lit(x) for x in points])).alias("p"), F.avg("c").alias("mean"))
+    p = quantiles(docs, [], F.col("c"), tuple(points), keep=False).select(F.col("q").alias("p"), (F.col("total") / F.col("n")).alias("mean"))
     return p.select(F.posexplode("p").alias("i", "value"), "mean").select(F.array(*[F.lit(int(100 * x)) for x in points])[F.col("i")].alias("percentile"), F.round("value", 6).alias("value"), F.round("mean", 6).alias("mean"))
 
 

@@ -9,7 +9,7 @@ from rigweave.functions.arrays import all_finite, difference, flip, float32_erro
 from rigweave.operators.intervals import contained
 from rigweave.operators.merging import dense_ids
 from rigweave.operators.sequence import islands, neighbour, row_index
-from rigweave.operators.stats import bookkeeping, most_frequent, summary
+from rigweave.operators.stats import bookkeeping, exact_summary, most_frequent, quantiles
 from rigweave.plans.base import MOVES, TICKS, VECTORS, moves, table, ticks, vectors
 from rigweave.session import settle
 
@@ -76,7 +76,11 @@ def longest_runs(spark: SparkSession, folder: str) -> DataFrame:
 
 def longest_repeat(spark: SparkSession, folder: str) -> DataFrame:
     """Per episode: the longest repeat of one positive head camera time, the earliest if several, and the last change."""
-    rows = row_index(ticks(spark, folder).where("episode_id is not null").select("episode_id", "tick", "head_ts"), "episode_id", "tick", "i")
+    return _repeats(row_index(ticks(spark, folder).where("episode_id is not null").select("episode_id", "tick", "head_ts"), "episode_id", "tick", "i"))
+
+
+def _repeats(placed: DataFrame) -> DataFrame:
+    rows = placed.select("episode_id", "i", "head_ts")
     rows = settle(islands(rows, "episode_id", "i", F.col("head_ts") != F.col("_h"), "run", {"_h": "head_ts"}), "repeats")
     runs = rows.groupBy("episode_id", "run").agg(F.count(F.lit(1)).alias("n"), F.min("i").alias("first"), F.max("i").alias("last"), F.max("head_ts").alias("v"))
     best = F.max(F.when(F.col("v") > 0, F.struct("n", (-F.col("first")).alias("o"), "last")))
@@ -92,14 +96,18 @@ def master_clock(spark: SparkSession, folder: str) -> DataFrame:
 
 def camera_health(spark: SparkSession, folder: str) -> DataFrame:
     """Head camera of each episode: ratios, lag and a conservative status."""
-    rows = ticks(spark, folder).where("episode_id is not null")
+    rows = settle(ticks(spark, folder).where("episode_id is not null").select("episode_id", "tick", "ts_ns", "head_ts", "head_valid", "head_frame"), "ticks")
     delta = F.when((F.col("head_ts") > 0) & (F.col("ts_ns") > 0), F.col("ts_ns") - F.col("head_ts"))
     base = rows.groupBy("episode_id").agg(
         F.count(F.lit(1)).alias("total"), F.count_if(F.col("head_ts") > 0).alias("positive"), F.count_if("head_valid").alias("valid"), F.count_if(F.col("head_frame") >= 0).alias("frames"),
-        F.count_distinct(F.when(F.col("head_ts") > 0, F.col("head_ts"))).alias("uniq"), F.percentile(delta.cast("double"), F.lit(0.5)).alias("median"), F.min(delta).alias("lo"), F.max(delta).alias("hi"),
+        F.min(delta).alias("lo"), F.max(delta).alias("hi"),
         F.min_by("ts_ns", F.when(F.col("ts_ns") > 0, F.col("tick"))).alias("m0"), F.max_by("ts_ns", F.when(F.col("ts_ns") > 0, F.col("tick"))).alias("m1"))
-    repeat = longest_repeat(spark, folder).select("episode_id", F.coalesce("repeat", F.lit(0)).alias("repeat"), "first_row", "last_row")
+    # distinct times and the median lag by counts that are summed before they meet
+    uniq = rows.where("head_ts > 0").select("episode_id", "head_ts").distinct().groupBy("episode_id").agg(F.count(F.lit(1)).alias("uniq"))
+    median = quantiles(rows, ["episode_id"], delta, (0.5,), keep=False).select("episode_id", F.col("q")[0].alias("median"))
+    base = base.join(uniq, "episode_id", "left").withColumn("uniq", F.coalesce("uniq", F.lit(0))).join(median, "episode_id")
     placed = settle(row_index(rows.select("episode_id", "tick", "ts_ns", "head_ts"), "episode_id", "tick", "i"), "placed")
+    repeat = _repeats(placed).select("episode_id", F.coalesce("repeat", F.lit(0)).alias("repeat"), "first_row", "last_row")
     ends = repeat.join(placed.select("episode_id", F.col("i").alias("last_row"), F.col("ts_ns").alias("end_master"), F.col("head_ts").alias("camera_value")), ["episode_id", "last_row"], "left")
     c = base.join(ends, "episode_id", "left")
     ratio = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(0.0)
@@ -135,13 +143,13 @@ def _long_lags(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def lag_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return _long_lags(spark, folder).groupBy("metric").agg(*summary(F.col("v")))
+    return exact_summary(_long_lags(spark, folder), ["metric"], F.col("v"))
 
 
 def episode_median_distribution(spark: SparkSession, folder: str) -> DataFrame:
     """Distribution over episodes of each metric's median in the episode."""
-    medians = _long_lags(spark, folder).groupBy("metric", "episode_id").agg(F.percentile(F.col("v").cast("double"), F.lit(0.5)).alias("m"))
-    return medians.groupBy("metric").agg(*summary(F.col("m")))
+    medians = quantiles(_long_lags(spark, folder), ["metric", "episode_id"], F.col("v"), (0.5,)).select("metric", F.col("q")[0].alias("m"))
+    return exact_summary(medians, ["metric"], F.col("m"))
 
 
 def temporal_flags(spark: SparkSession, folder: str) -> DataFrame:
@@ -162,7 +170,7 @@ def vector_summary(spark: SparkSession, folder: str) -> DataFrame:
     """Summary of the size of all elements (joint -1) and of each joint, of the state vector."""
     e = _elements(vectors(spark, folder), "state").withColumn("v", F.abs("v"))
     both = e.select(F.explode(F.array(F.col("joint"), F.lit(-1))).alias("joint"), "v")
-    return both.groupBy("joint").agg(*summary(F.col("v")))
+    return exact_summary(both, ["joint"], F.col("v"))
 
 
 def joint_activity(spark: SparkSession, folder: str) -> DataFrame:
@@ -190,7 +198,7 @@ def step_summary(spark: SparkSession, folder: str) -> DataFrame:
     v = vectors(spark, folder).where("episode_id is not null").select("episode_id", "tick", "next_tick", "state")
     p = neighbour(v, "episode_id", "tick", {"p_next": "next_tick", "p_state": "state"}).where("p_next = tick")
     e = p.select(F.posexplode(F.zip_with("state", "p_state", lambda a, b: F.abs(a - b))).alias("joint", "v")).where(F.col("v") < F.lit(float("inf")))
-    return e.groupBy("joint").agg(*summary(F.col("v")))
+    return exact_summary(e, ["joint"], F.col("v"))
 
 
 def sign_flip(spark: SparkSession, folder: str) -> DataFrame:

@@ -57,3 +57,26 @@ def test_stats(spark):
     modes = most_frequent(spark.createDataFrame([("a", 2), ("a", 1), ("b", 5)], "k string, v int"), ["k"], ["v"]).collect()
     assert {r["k"]: r["v"] for r in modes} == {"a": 1, "b": 5}
     assert one(spark, close_enough(F.lit(1.0), F.lit(1.0000001)))
+
+
+@pytest.mark.parametrize("cell_rows", [5, 10**6])
+def test_quantiles_are_exact_in_cells_of_any_size(spark, cell_rows):
+    import random
+
+    import numpy as np
+
+    from rigweave.operators.stats import exact_summary, quantiles
+
+    rng = random.Random(3)
+    rows = [("a", rng.choice([0.0, -0.0, 1.0, rng.uniform(-1e-5, 1e12), 1.5e18 + rng.randrange(4000) * 256.0])) for _ in range(700)] + [("b", 1.0 + rng.random() / 50) for _ in range(500)]
+    rows += [("c", float("nan")), ("c", None), (None, 5.0), (None, 7.0), ("d", float("inf")), ("d", 2.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    points = (0.0, 0.1, 0.5, 0.95, 0.99, 1.0)
+    got = {r["k"]: r for r in quantiles(df, ["k"], F.col("v"), points, cell_rows=cell_rows).collect()}
+    for k in ("a", "b", None, "d"):
+        x = [v for g, v in rows if g == k and v is not None and np.isfinite(v)]
+        assert got[k]["n"] == len(x) and np.allclose(got[k]["q"], np.quantile(x, points), rtol=1e-12, atol=0)
+    assert got["c"]["n"] == 0 and got["c"]["q"] == [None] * 6
+    assert exact_summary(df.limit(0), ["k"], F.col("v")).count() == 0
+    whole = exact_summary(df.where("k = 'b'"), [], F.col("v")).first()
+    assert whole["n"] == 500 and abs(whole["median"] - np.median([v for g, v in rows if g == "b"])) < 1e-6
