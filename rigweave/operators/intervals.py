@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rigweave.operators.sequence import neighbour, running_total
@@ -34,6 +34,35 @@ def classify_points(points: DataFrame, intervals: DataFrame, entity: str, ts: st
     return done.select("__iv_row.*", result.alias(name))
 
 
+def clean_gaps(points: DataFrame, intervals: DataFrame, entity: str, ts: str) -> DataFrame:
+    """Add clean (ts lies in no interval of the entity, ends included), lo (last end before ts) and hi (first start after it).
+
+    intervals(entity, start_ns, end_ns), not overlapping; end_ns null is open. Two clean points lie in one clean stretch if
+    their lo are the same, and lo < at < hi tells whether any other time does. Points without entity or time are not clean.
+    """
+    packed = F.struct(*[F.col(c) for c in points.columns]).alias("__iv_row")
+    kind = dict(points.select(packed).dtypes)["__iv_row"]
+    none, null = F.lit(None).cast(kind).alias("__iv_row"), F.lit(None).cast("long")
+    asked = points.select(F.col(entity).alias("__iv_entity"), F.col(ts).cast("long").alias("__iv_at"), null.alias("__iv_start"), null.alias("__iv_end"), packed)
+    starts = intervals.select(F.col(entity).alias("__iv_entity"), F.col("start_ns").alias("__iv_at"), F.col("start_ns").alias("__iv_start"), null.alias("__iv_end"), none)
+    ends = intervals.where("end_ns is not null").select(F.col(entity).alias("__iv_entity"), F.col("end_ns").alias("__iv_at"), null.alias("__iv_start"), F.col("end_ns").alias("__iv_end"), none)
+    events = asked.unionByName(starts).unionByName(ends).withColumn("__iv_chunk", F.shiftright("__iv_at", TIME_BITS))
+    chunks = events.groupBy("__iv_entity", "__iv_chunk").agg(F.max("__iv_end").alias("e"), F.max("__iv_start").alias("s"), F.min("__iv_start").alias("n"))
+    whole = Window.partitionBy("__iv_entity")
+    past, coming = whole.orderBy("__iv_chunk").rowsBetween(Window.unboundedPreceding, -1), whole.orderBy(F.desc("__iv_chunk")).rowsBetween(Window.unboundedPreceding, -1)
+    far = chunks.select(F.col("__iv_entity").alias("__iv_k"), F.col("__iv_chunk").alias("__iv_c"), F.max("e").over(past).alias("__iv_e"), F.max("s").over(past).alias("__iv_s"), F.min("n").over(coming).alias("__iv_n"))
+    part = Window.partitionBy("__iv_entity", "__iv_chunk")
+    up, down = part.orderBy("__iv_at"), part.orderBy(-F.col("__iv_at"))
+    near = events.withColumns({"__iv_e_in": F.max("__iv_end").over(up.rangeBetween(Window.unboundedPreceding, -1)), "__iv_s_in": F.max("__iv_start").over(up.rangeBetween(Window.unboundedPreceding, 0))})
+    near = near.withColumn("__iv_n_in", F.min("__iv_start").over(down.rangeBetween(Window.unboundedPreceding, -1))).where("__iv_row is not null")
+    met = near.join(far, F.col("__iv_entity").eqNullSafe(F.col("__iv_k")) & F.col("__iv_chunk").eqNullSafe(F.col("__iv_c")))
+    e, s, n = F.coalesce("__iv_e_in", "__iv_e"), F.coalesce("__iv_s_in", "__iv_s"), F.coalesce("__iv_n_in", "__iv_n")
+    known = F.col("__iv_entity").isNotNull() & F.col("__iv_at").isNotNull()
+    # the last start at or before ts belongs to an interval that has ended unless it lies behind the last end before ts
+    inside = s.isNotNull() & (e.isNull() | (s > e))
+    return met.select("__iv_row.*", (known & ~inside).alias("clean"), F.when(known, e).alias("lo"), F.when(known, n).alias("hi"))
+
+
 def merge_overlaps(intervals: DataFrame, entity: str) -> DataFrame:
     """entity, start_ns, end_ns of the unions of overlapping or touching intervals; end_ns null is open to the end."""
     far = F.lit(2**62)

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rigweave.functions.arrays import all_finite
 from rigweave.operators.asof import strict_asof
+from rigweave.operators.causal import curated, synchronize
 from rigweave.operators.intervals import classify_points, origin
-from rigweave.operators.reasons import group_counts, reason_counts, reasons
+from rigweave.operators.reasons import component_mismatch, group_counts, reason_counts
 from rigweave.operators.sequence import islands, neighbour, row_index
 from rigweave.operators.stats import zero_filled
 from rigweave.plans.base import INTERVENTIONS, MEDIA, MOVES, SAMPLES, TICKS, VECTORS, interventions, media, moves, readings, table, ticks
@@ -70,61 +72,29 @@ post AS (SELECT w.*, g.sample_id, g.ts AS pick_ts FROM wanted w ASOF LEFT JOIN g
 _WITH = f"WITH {MOVES}, {SAMPLES}, {_B}"
 
 
-def sync_transitions(spark: SparkSession, folder: str) -> DataFrame:
-    """Every candidate (a tick and the next one of its episode) with the reasons that reject it, none if accepted.
-
-    Gates run in order and a later one is not asked once an earlier one rejects: intervention of the two ticks; the
-    action (present, positive times, finite vector); the action's intervention domain; samples before and after it and
-    the cameras' frames and images; the evidence's domain and strict order.
-    """
+def _synchronized(spark: SparkSession, folder: str) -> DataFrame:
+    """The test tables as `synchronize` reads them. Their recordings bear no command flags; a missing time or vector stands for a false one."""
     rows = settle(ticks(spark, folder).where("episode_id is not null").select("episode_id", "tick", "ts_ns", "head_valid"), "ticks")
     holes = settle(interventions(spark, folder, rows), "interventions")
-    rows = rows.select("episode_id", "tick", "ts_ns")
-    placed = classify_points(rows, holes, "episode_id", "ts_ns", "here")
-    pair = neighbour(placed, "episode_id", "tick", {"next_row": "tick", "next_here": "here"}, after=True).where("next_row is not null")
-    # the vector is judged at the scan; only two flags of it travel on
-    whole = F.forall("action17", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    # the vector is judged at the scan; only flags of it travel on
+    vector = F.col("action17")
     acts = table(spark, folder, "transitions").select(
-        "transition_id", F.col("episode_id").alias("a_episode"), F.col("source_tick_index").alias("a_tick"), F.col("arm_action_timestamp_ns").alias("arm_ns"), F.col("hand_action_timestamp_ns").alias("hand_ns"), whole.alias("whole")).distinct()
-    c = pair.join(acts, (F.col("episode_id") == F.col("a_episode")) & (F.col("tick") == F.col("a_tick")), "left").select(
-        "episode_id", "tick", "here", "next_here", "transition_id", "arm_ns", "hand_ns", "whole", F.least("arm_ns", "hand_ns").alias("start_ns"), F.greatest("arm_ns", "hand_ns").alias("end_ns"))
-    hit = F.lit("INTERVENTION_CONTAMINATED")
-    gate1 = F.when(~F.coalesce(F.col("here") == F.col("next_here"), F.lit(False)), F.array(hit))
-    gate2 = reasons(
-        ("ACTION_ARM_COMMAND_FLAG_INVALID", F.col("arm_ns").isNull()), ("ACTION_HAND_COMMAND_FLAG_INVALID", F.col("hand_ns").isNull()),
-        ("ACTION_ROBOT_COMMAND_FLAG_INVALID", F.col("whole").isNull()), ("ACTION_TIMESTAMP_NONPOSITIVE", (F.col("arm_ns") <= 0) | (F.col("hand_ns") <= 0)), ("ACTION_NONFINITE", ~F.col("whole")))
-    c = c.withColumn("first", F.coalesce(gate1, gate2)).drop("whole", "arm_ns", "hand_ns")
-    # read three times below: written once
-    c = settle(c, "candidates")
-    ready = c.where(F.size("first") == 0)
-
-    # one long table of points per candidate: action times and all evidence, classified at once
-    evidence = None
-    for channels, bound, after, side in ((["arm", "hand", "head", "wrist"], "start_ns", False, "PRE"), (["arm", "hand"], "end_ns", True, "POST")):
-        side = F.when(F.col("channel").isin("head", "wrist"), "CAMERA").otherwise(side)
-        e = _by_channel(spark, folder, channels, bound, after).select("transition_id", F.concat_ws("_", F.upper("channel"), side).alias("part"), "sample_id", "pick_ts", "frame_index", "any_positive")
-        evidence = e if evidence is None else evidence.unionByName(e)
-    evidence = ready.select("transition_id", "episode_id", "start_ns", "end_ns", "here").join(evidence, "transition_id")
-    stored = media(spark, folder).select(F.col("episode_id").alias("m_episode"), F.concat(F.upper("role"), F.lit("_CAMERA")).alias("m_part"), F.col("frame_index").alias("m_frame"))
-    evidence = evidence.join(stored, (F.col("episode_id") == F.col("m_episode")) & (F.col("part") == F.col("m_part")) & (F.col("frame_index") == F.col("m_frame")), "left")
-    points = evidence.select("transition_id", "episode_id", "start_ns", "end_ns", "here", "part", "sample_id", "pick_ts", "any_positive", F.col("m_part").isNotNull().alias("stored"), F.coalesce("pick_ts", F.lit(-1)).alias("at"))
-    bounds = ready.select("transition_id", "episode_id", "start_ns", "end_ns", "here", F.explode(F.array(F.struct(F.lit("START").alias("part"), F.col("start_ns").alias("at")), F.struct(F.lit("END").alias("part"), F.col("end_ns").alias("at")))).alias("x"))
-    bounds = bounds.select("transition_id", "episode_id", "start_ns", "end_ns", "here", "x.part", F.lit(None).cast("long").alias("sample_id"), F.lit(None).cast("long").alias("pick_ts"), F.lit(True).alias("any_positive"), F.lit(True).alias("stored"), "x.at")
-    placed = classify_points(settle(points.unionByName(bounds), "evidence"), holes, "episode_id", "at", "where_at")
-    camera = F.col("part").endswith("_CAMERA")
-    code = F.when(F.col("part").isin("START", "END"), F.lit(None)).when(
-        camera, F.when(F.col("sample_id").isNull(), F.concat(F.lit("CAMERA_"), "part", F.lit("_UNAVAILABLE"))).when(~F.col("stored"), F.concat(F.lit("CAMERA_"), "part", F.lit("_MEDIA_MISSING")))
-    ).when(~F.col("any_positive"), F.concat(F.lit("CAUSALITY_"), "part", F.lit("_UNAVAILABLE"))).when(F.col("sample_id").isNull(), F.concat(F.lit("FEEDBACK_"), "part", F.lit("_INVALID")))
-    off = ~F.coalesce(F.col("where_at") == F.col("here"), F.lit(False))
-    edge = F.col("part").isin("START", "END")
-    judged = placed.groupBy("transition_id").agg(
-        F.max(edge & off).alias("action_off"), F.array_sort(F.collect_list(code)).alias("missing"), F.max(~edge & off).alias("evidence_off"),
-        F.max(F.when(F.col("part").isin("ARM_PRE", "HAND_PRE"), F.col("pick_ts"))).alias("last_pre"), F.min(F.when(F.col("part").isin("ARM_POST", "HAND_POST"), F.col("pick_ts"))).alias("first_post"))
-    judged = judged.withColumnRenamed("transition_id", "j_id")
-    late = reasons(("INTERVENTION_CONTAMINATED", F.col("evidence_off")), ("CAUSALITY_PRE_NOT_STRICT", F.col("last_pre") >= F.col("start_ns")), ("CAUSALITY_POST_NOT_STRICT", F.col("end_ns") >= F.col("first_post")))
-    rest = F.when(F.col("action_off"), F.array(hit)).when(F.size("missing") > 0, F.col("missing")).otherwise(late)
-    return c.join(judged, F.col("transition_id") == F.col("j_id"), "left").select(
-        "episode_id", "tick", F.when(F.size("first") > 0, F.col("first")).otherwise(rest).alias("reasons"))
+        "episode_id", F.col("source_tick_index").alias("tick"), F.col("transition_id").alias("action_id"), F.col("arm_action_timestamp_ns").alias("arm_ns"), F.col("hand_action_timestamp_ns").alias("hand_ns"),
+        F.col("arm_action_timestamp_ns").isNotNull().alias("arm_ok"), F.col("hand_action_timestamp_ns").isNotNull().alias("hand_ok"), vector.isNotNull().alias("whole_ok"), all_finite(vector).alias("finite"),
+        component_mismatch(F.slice(vector, 1, 6), F.slice(vector, 7, 11), vector).alias("mismatch")).distinct()
+    have = readings(spark, folder).select("episode_id", "channel", "ts", F.col("sample_id").alias("row"), "eligible", "frame_index")
+    stored = media(spark, folder).select("episode_id", F.col("role").alias("channel"), "frame_index", F.lit(None).cast("boolean").alias("decodable"))
+    return synchronize(rows.select("episode_id", "tick", "ts_ns"), holes, acts, have, stored)
+
+
+def sync_transitions(spark: SparkSession, folder: str) -> DataFrame:
+    """Every candidate (a tick and the next one of its episode) with the reasons that reject it, none if accepted."""
+    return _synchronized(spark, folder).select("episode_id", "tick", "reasons")
+
+
+def curated_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The accepted transitions with the times and frames of their evidence and the lags between them."""
+    return curated(_synchronized(spark, folder)).drop("start_ns", "arm_row", "hand_row", "head_ns", "wrist_ns")
 
 
 _SYNC = f"""{_WITH}, {TICKS}, {INTERVENTIONS}, {MEDIA}, {VECTORS},
@@ -207,7 +177,7 @@ def runs_by_origin(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (asof_pre, asof_post, availability_class, camera_asof_media, sync_transitions, rejection_counts, rejection_groups, primary_reason, first_mid_last, intervention_domain, runs_by_origin)}
+    return {f.__name__: f for f in (asof_pre, asof_post, availability_class, camera_asof_media, sync_transitions, curated_rows, rejection_counts, rejection_groups, primary_reason, first_mid_last, intervention_domain, runs_by_origin)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -222,6 +192,16 @@ SELECT channel, side, {state} AS state, count(*) AS n FROM x GROUP BY ALL""",
         "camera_asof_media": f"""{_WITH}, {MEDIA} SELECT transition_id, p.channel, sample_id, CASE WHEN sample_id IS NULL THEN 'UNAVAILABLE' WHEN m.role IS NULL THEN 'MEDIA_MISSING' ELSE 'OK' END AS state
 FROM pre p LEFT JOIN media m ON p.episode_id = m.episode_id AND p.channel = m.role AND p.frame_index = m.frame_index WHERE p.channel IN ('head', 'wrist') AND p.episode_id IS NOT NULL""",
         "sync_transitions": f"{_SYNC} SELECT episode_id, tick, reasons FROM sync",
+        "curated_rows": f"""{_SYNC}, ok AS (SELECT g.* FROM g JOIN sync s ON g.episode_id = s.episode_id AND g.tick = s.tick WHERE len(s.reasons) = 0),
+e AS (SELECT transition_id, max(CASE WHEN channel = 'arm' THEN pick_ts END) AS arm, max(CASE WHEN channel = 'hand' THEN pick_ts END) AS hand, max(CASE WHEN channel = 'head' THEN pick_ts END) AS head, max(CASE WHEN channel = 'wrist' THEN pick_ts END) AS wrist,
+  max(CASE WHEN channel = 'head' THEN frame_index END) AS head_frame, max(CASE WHEN channel = 'wrist' THEN frame_index END) AS wrist_frame FROM pre GROUP BY 1),
+f AS (SELECT transition_id, min(pick_ts) AS next_ts FROM post WHERE channel IN ('arm', 'hand') GROUP BY 1),
+nx AS (SELECT episode_id, tick, next_row FROM pairs)
+SELECT ok.episode_id, ok.tick AS source_tick_index, nx.next_row AS next_state_tick_index, ok.transition_id AS action_id, greatest(arm, hand) AS state_timestamp_ns, end_ns AS action_timestamp_ns, next_ts AS next_state_timestamp_ns,
+  arm AS arm_qpos_source_timestamp_ns, hand AS hand_qpos_source_timestamp_ns, head_frame AS head_rgb_frame_index, wrist_frame AS right_wrist_rgb_frame_index, abs(arm - hand) AS state_component_skew_ns, end_ns - start_ns AS action_component_skew_ns,
+  start_ns - arm AS arm_state_age_at_action_ns, start_ns - hand AS hand_state_age_at_action_ns, start_ns - head AS head_frame_age_at_action_ns, start_ns - wrist AS wrist_frame_age_at_action_ns, abs(head - wrist) AS head_wrist_frame_skew_ns,
+  next_ts - greatest(arm, hand) AS state_to_next_state_ns
+FROM ok JOIN e USING (transition_id) JOIN f USING (transition_id) JOIN nx ON nx.episode_id = ok.episode_id AND nx.tick = ok.tick""",
         "rejection_counts": f"{_SYNC} SELECT reason, count(*) AS n FROM (SELECT unnest(reasons) AS reason FROM sync) GROUP BY 1",
         "rejection_groups": f"""{_SYNC}, x AS (SELECT DISTINCT episode_id, tick, split_part(reason, '_', 1) AS g FROM (SELECT episode_id, tick, unnest(reasons) AS reason FROM sync))
 SELECT v.g AS reason_group, count(x.g) AS n FROM (VALUES ('ACTION'), ('FEEDBACK'), ('CAUSALITY'), ('CAMERA'), ('INTERVENTION')) v(g) LEFT JOIN x USING (g) GROUP BY 1""",
