@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rigweave.sources.contracts import RAW_TICKS
+from rigweave.functions.media import jpeg_complete
+from rigweave.sources.contracts import CURATED, RAW_TICKS, breaks
 
 
 def discover(spark: SparkSession, folder: str) -> DataFrame:
@@ -77,3 +78,42 @@ def stored_frames(spark: SparkSession, folder: str, content: bool = False) -> Da
     return files.select(
         F.regexp_extract("path", r"/(episode_\d{6})(?:_media)?/", 1).alias("episode_id"), F.regexp_extract("path", r"/([^/]+)/rgb/[^/]+$", 1).alias("role"),
         F.when(number != "", number.cast("long")).alias("frame_index"), "path", *(["content"] if content else []))
+
+
+def media_frames(spark: SparkSession, folder: str) -> DataFrame:
+    """episode_id, channel (head, wrist), frame_index and decodable of the images below a folder, by their bytes' begin and end."""
+    role = F.when(F.col("role") == "right_wrist", "wrist").otherwise(F.col("role"))
+    rows = stored_frames(spark, folder, content=True).where("frame_index is not null and episode_id <> ''")
+    return rows.select("episode_id", role.alias("channel"), "frame_index", jpeg_complete(F.col("content")).alias("decodable"))
+
+
+def require(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The named columns; a missing one is an error that names it."""
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise KeyError(f"missing columns: {', '.join(missing)}")
+    return df.select(*columns)
+
+
+def read_curated(spark: SparkSession, folder: str) -> DataFrame:
+    """Curated transitions stored as Parquet, checked against their contract; a table that breaks it is refused."""
+    rows = spark.read.parquet(folder)
+    broken = {k: v for k, v in breaks(rows.drop("episode_id", "segment"), CURATED).items() if v}
+    if broken:
+        raise ValueError(f"not a curated table: {broken}")
+    return rows
+
+
+def read_masks(spark: SparkSession, folder: str) -> DataFrame:
+    """episode_id, row, keep of every <episode>/quality_mask.npy: a mask that is no one-dimensional boolean array is refused."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"]):
+                mask = np.load(io.BytesIO(content), allow_pickle=False)
+                if mask.ndim != 1 or mask.dtype != bool:
+                    raise ValueError(f"not a boolean mask: {path}")
+                yield pd.DataFrame({"episode_id": path.rsplit("/", 2)[-2], "row": np.arange(len(mask)), "keep": mask})
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "quality_mask.npy").option("recursiveFileLookup", "true").load(folder)
+    return files.select("path", "content").mapInPandas(run, "episode_id string, row long, keep boolean")
