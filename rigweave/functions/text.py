@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Limits, phrases and patterns of the controlled task language.
 MAX_LENGTH, MIN_LENGTH, SCHEMA_MAX_LENGTH = 160, 4, 240
@@ -119,3 +120,20 @@ def episode_number(ident: Column, path: Column) -> Column:
 
     found = F.coalesce(F.nullif(number(ident), F.lit("")), F.nullif(number(path), F.lit("")))
     return found.cast("long")
+
+
+def canonical_object(fields: dict[str, Column], schema: T.StructType, item: str = ", ", colon: str = ": ") -> Column:
+    """One JSON object with its keys in order and fixed separators, so that equal values give equal bytes; nulls stay as null.
+
+    Values are texts (as in JSON, not reduced to ASCII), whole numbers and booleans, of the types that `schema` gives them;
+    others are refused, as their spelling is not fixed.
+    """
+    parts = []
+    for name in sorted(fields):
+        kind = schema[name].dataType
+        if not isinstance(kind, T.StringType | T.LongType | T.IntegerType | T.BooleanType):
+            raise TypeError(f"no canonical spelling for {name}: {kind.simpleString()}")
+        inner = F.to_json(F.array(fields[name]))
+        value = F.substring(inner, F.lit(2), F.length(inner) - 2)
+        parts.append(F.concat(F.lit(f'"{name}"{colon}'), F.coalesce(F.when(fields[name].isNotNull(), value), F.lit("null"))))
+    return F.concat(F.lit("{"), F.concat_ws(item, *parts), F.lit("}"))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from rigweave.plans import alignment, data_problems, datasets, edges, motion, quality, reports
+from rigweave.plans import alignment, data_problems, datasets, edges, exports, motion, quality, reports
 
-MODULES = (alignment, motion, quality, datasets, reports, edges, data_problems)
+MODULES = (alignment, motion, quality, datasets, reports, edges, exports, data_problems)
 
 
 def queries() -> dict:

@@ -80,3 +80,16 @@ def test_quantiles_are_exact_in_cells_of_any_size(spark, cell_rows):
     assert exact_summary(df.limit(0), ["k"], F.col("v")).count() == 0
     whole = exact_summary(df.where("k = 'b'"), [], F.col("v")).first()
     assert whole["n"] == 500 and abs(whole["median"] - np.median([v for g, v in rows if g == "b"])) < 1e-6
+
+
+def test_canonical_object_is_that_of_json(spark):
+    import json
+
+    rows = [("x", 5, True, None), ('q"\\\né数', None, False, "t"), (None, -3, None, "")]
+    df = spark.createDataFrame(rows, "b string, a long, d boolean, c string")
+    got = [r["j"] for r in df.select(T.canonical_object({c: F.col(c) for c in df.columns}, df.schema).alias("j")).collect()]
+    assert got == [json.dumps(dict(zip("badc", r)), sort_keys=True, ensure_ascii=False) for r in rows]
+    compact = df.select(T.canonical_object({"a": F.col("a"), "b": F.col("b")}, df.schema, ",", ":").alias("j")).first()["j"]
+    assert compact == '{"a":5,"b":"x"}'
+    with pytest.raises(TypeError):
+        T.canonical_object({"v": F.lit(1.5)}, spark.createDataFrame([(1.5,)], "v double").schema)

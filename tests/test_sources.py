@@ -80,3 +80,39 @@ def test_stream_appends_each_key_once(spark, tmp_path):
 def test_windowed_counts_in_batch(spark):
     df = spark.sql("select timestamp'2026-01-01 00:10:00' as ts, 'a' as k union all select timestamp'2026-01-01 00:50:00', 'a'")
     assert windowed_counts(df, "ts", "k").first()["n"] == 2
+
+
+def test_publish_refuses_when_an_input_changes_and_places_that_overlap(spark, tmp_path):
+    from rigweave.sources.tables import assert_separate, read_or_empty
+
+    source = str(tmp_path / "in")
+    spark.range(5).write.parquet(source)
+    given = spark.read.parquet(source)
+
+    def meddle(_):
+        spark.range(5, 9).write.mode("append").parquet(source)
+
+    with pytest.raises(RuntimeError):
+        publish(given.selectExpr("id + 1 as id"), str(tmp_path / "out"), meddle, inputs=[lambda: spark.read.parquet(source)])
+    assert not (tmp_path / "out").exists() and not (tmp_path / "out.staging").exists()
+    for inner in ("/data/in/out", "/data", "file:///data/in"):
+        with pytest.raises(ValueError):
+            assert_separate(["/data/in/"], inner)
+    assert_separate(["/data/in"], "/data/in2")
+    assert read_or_empty(spark, str(tmp_path / "absent.json"), "a long").count() == 0
+    (tmp_path / "r.json").write_text('{"a": 3}\n{"a": \n')
+    assert [r["a"] for r in read_or_empty(spark, str(tmp_path / "r.json"), "a long").collect()] == [3]
+
+
+def test_long_episodes_are_written_by_several_tasks(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    df = spark.range(200_000).select(F.lit(3).cast("long").alias("episode_index"), F.col("id").alias("frame_index"))
+    # adaptive execution would put so few rows together again
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        write_frames(df, str(tmp_path / "f"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(list((tmp_path / "f").rglob("*.parquet"))) > 1
+    assert read_frames(spark, str(tmp_path / "f")).count() == 200_000
