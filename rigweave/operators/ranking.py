@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SUB_BITS = 8
+#: Parts of a group: so many rows each, within bounds.
+PART_ROWS, FEWEST_BITS, MOST_BITS = 250_000, 8, 20
 
 
 def seeded_hash(seed: int, *columns: str | Column) -> Column:
@@ -13,15 +14,17 @@ def seeded_hash(seed: int, *columns: str | Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *columns), 1)
 
 
-def spread_rank(df: DataFrame, keys: list[str], order: str, tie: list[str], rank: str = "rank") -> DataFrame:
+def spread_rank(df: DataFrame, keys: list[str], order: str, tie: list[str], rank: str = "rank", rows: int | None = None) -> DataFrame:
     """Add the 0-based rank of each row inside its group, by `order` (a 63-bit hash) and then `tie`.
 
-    The hash's leading bits cut every group into up to 256 parts; the parts' counts, pre-aggregated before the shuffle,
-    give each part's offset, and only rows of one part meet in one task, so a hot group is ranked by many tasks.
+    The hash's leading bits cut every group into parts, 256 or, where `rows` tells that there are many, as many as keep a part
+    near PART_ROWS even if one group holds all; the parts' counts, pre-aggregated before the shuffle, give each part's
+    offset, and only rows of one part meet in one task, so a hot group is ranked by many tasks.
     Null keys form a group; repeated (order, tie) get distinct ranks in no fixed order. Columns
     named __rk_* are the helper's own.
     """
-    cut = df.withColumn("__rk_sub", F.shiftright(F.col(order), 63 - SUB_BITS).cast("int"))
+    bits = min(MOST_BITS, max(FEWEST_BITS, ((rows or 0) // PART_ROWS).bit_length()))
+    cut = df.withColumn("__rk_sub", F.shiftright(F.col(order), 63 - bits).cast("int"))
     counts = cut.groupBy(*keys, "__rk_sub").agg(F.count(F.lit(1)).alias("__rk_n"))
     before = Window.partitionBy(*keys).orderBy("__rk_sub").rowsBetween(Window.unboundedPreceding, -1)
     base = counts.select(*[F.col(k).alias(f"__rk_k_{k}") for k in keys], F.col("__rk_sub").alias("__rk_k_sub"), F.coalesce(F.sum("__rk_n").over(before), F.lit(0)).alias("__rk_base"))

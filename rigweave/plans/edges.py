@@ -18,7 +18,7 @@ def frame_layout(spark: SparkSession, folder: str) -> DataFrame:
         "transition_id", F.regexp_extract("episode_id", r"(\d+)$", 1).cast("long").alias("episode_index"), F.col("source_tick_index").alias("frame_index"), to_float32(F.col("action17")).alias("action")).dropDuplicates(["transition_id"])
     path = scratch_path(spark, "frames")
     write_frames(rows, path, 100)
-    return read_frames(spark, path).groupBy("episode_index").agg(F.count(F.lit(1)).alias("frames"), F.max(F.col("chunk").cast("long")).alias("chunk"), F.max(F.col("episode").cast("long")).alias("episode"), F.round(F.sum(F.when(F.abs(F.col("action")[0]) < 100, F.col("action")[0].cast("double"))), 3).alias("total"))
+    return read_frames(spark, path).groupBy("episode_index").agg(F.count(F.lit(1)).alias("frames"), F.max(F.col("chunk").cast("long")).alias("chunk"), F.max(F.col("episode").cast("long")).alias("episode"), F.round(F.sum(F.col("action")[0].cast("double")), 3).alias("total"))
 
 
 def published(spark: SparkSession, folder: str) -> DataFrame:

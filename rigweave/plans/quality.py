@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rigweave.functions.arrays import luminance, total
+from rigweave.operators.hashrank import below_fraction
+from rigweave.operators.hilbert import with_record
 from rigweave.operators.contract import verdicts, violations
 from rigweave.operators.sequence import islands, neighbour, row_index
-from rigweave.operators.stats import exact_summary
+from rigweave.operators.stats import exact_summary, most_frequent, quantiles
 from rigweave.plans.base import MEDIA, MOVES, SAMPLES, TICKS, VECTORS, media, moves, samples, table, ticks
 from rigweave.session import settle
 
@@ -136,6 +138,42 @@ def channel_health(spark: SparkSession, folder: str) -> DataFrame:
     return s.select("*", share("positive").alias("positive_share"), share("eligible").alias("eligible_share"))
 
 
+#: Points of the report, and thresholds of the work they would cause.
+PERCENTILES, THRESHOLDS = (0, 10, 25, 50, 75, 90, 95, 100), (0.70, 0.80, 0.90, 0.95)
+
+
+def _confidence(spark: SparkSession, folder: str) -> DataFrame:
+    """Share of eligible samples of each episode and channel, as confidence in it."""
+    return settle(channel_health(spark, folder).select(F.concat_ws("/", "episode_id", "channel").alias("id"), F.col("eligible_share").alias("c"), (F.col("positive_share") < 1).alias("flagged")), "confidence")
+
+
+def health_percentiles(spark: SparkSession, folder: str) -> DataFrame:
+    """Percentiles and mean of the confidence in channels."""
+    q = quantiles(_confidence(spark, folder), [], F.col("c"), tuple(p / 100 for p in PERCENTILES), keep=False)
+    points = F.array(*[F.lit(p) for p in PERCENTILES])
+    return q.select(F.posexplode("q").alias("i", "value"), F.round(F.col("total") / F.col("n"), 6).alias("mean")).select(points[F.col("i")].alias("percentile"), F.round("value", 6).alias("value"), "mean")
+
+
+def health_workload(spark: SparkSession, folder: str) -> DataFrame:
+    """Channels that each threshold of confidence would send to review."""
+    counts = _confidence(spark, folder).agg(*[F.count_if(F.col("c") < t).alias(str(i)) for i, t in enumerate(THRESHOLDS)])
+    return counts.unpivot([], [str(i) for i in range(len(THRESHOLDS))], "i", "n").select(F.array(*[F.lit(t) for t in THRESHOLDS])[F.col("i").cast("int")].alias("threshold"), "n")
+
+
+def health_review(spark: SparkSession, folder: str) -> DataFrame:
+    """Channels below a confidence of 0.9, then flagged ones, then a hash-ranked tenth of the rest."""
+    c = _confidence(spark, folder)
+    low, flagged = F.col("c") < 0.9, F.col("flagged")
+    rest = below_fraction(c.where(~low & ~flagged).select("id"), "id", 0.1, 7, "s", "r").where("split = 's'").select("id", F.lit("RANDOM").alias("why"))
+    return c.where(low).select("id", F.lit("LOW_CONFIDENCE").alias("why")).unionByName(c.where(~low & flagged).select("id", F.lit("QUALITY_WARNING").alias("why"))).unionByName(rest)
+
+
+def size_mode(spark: SparkSession, folder: str) -> DataFrame:
+    """The most frequent size of the image files of each episode and camera, ties to the smallest; files that arrived again count once."""
+    files = with_record(table(spark, folder, "media_files").select("file_id", "rgb_path", "n_bytes").where("n_bytes is not null").distinct(), "rgb_path").where("episode is not null and camera is not null")
+    return most_frequent(files.select("episode", "camera", "n_bytes"), ["episode", "camera"], ["n_bytes"])
+
+
 def longest_flagged(spark: SparkSession, folder: str) -> DataFrame:
     """Per episode: 1 and the longest streak of ticks whose wrist camera flag holds (1 where none does)."""
     rows = ticks(spark, folder).where("episode_id is not null").select("episode_id", "tick", F.coalesce("wrist_valid", F.lit(False)).alias("flag"))
@@ -171,7 +209,7 @@ def even_rounded(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict:
     return {f.__name__: f for f in (
-        contract_violations, contract_verdicts, velocity_summary, velocity_timing, step_statistics, vector_statistics, activity, durations, media_references, channel_health, longest_flagged, homogeneity, rgb_metrics, even_rounded)}
+        contract_violations, contract_verdicts, velocity_summary, velocity_timing, step_statistics, vector_statistics, activity, durations, media_references, channel_health, health_percentiles, health_workload, health_review, size_mode, longest_flagged, homogeneity, rgb_metrics, even_rounded)}
 
 
 _SUM = "count(v) AS n, CASE WHEN abs(avg(v)) < 1e5 THEN round(avg(v), 4) ELSE round(avg(v), -3) END AS mean, round(quantile_cont(v, 0.5), 9) AS median, round(quantile_cont(v, 0.95), 9) AS p95, round(quantile_cont(v, 0.99), 9) AS p99, round(max(v), 9) AS max"
@@ -183,11 +221,16 @@ _VEL = f"""{_PAIR}, vel AS (SELECT 'arm_state' AS part, d1 AS dt, state[1:6] AS
   UNION ALL SELECT 'arm_action', d3, action[1:6], pa[1:6] FROM pp UNION ALL SELECT 'hand_action', d4, action[7:17], pa[7:17] FROM pp), vk AS (SELECT * FROM vel WHERE dt IS NOT NULL)"""
 
 
+_FILES = r"""files AS (SELECT DISTINCT file_id, n_bytes, nullif(regexp_extract(p, 'episode[_\- ]?(\d+)(?:_media)?/', 1), '')::BIGINT AS episode,
+  nullif(replace(regexp_extract(p, '/([^/]+)/rgb/[^/]*$', 1), 'right_wrist', 'wrist'), '') AS camera FROM (SELECT file_id, n_bytes, replace(regexp_replace(regexp_replace(lower(trim(replace(rgb_path, '\', '/'))), '/(\./)+', '/', 'g'), '/{2,}', '/', 'g'), 'rgb/../', '') AS p FROM media_files))"""
+
+
 def _all_and_each(inner: str, keys: str) -> str:
     return f"x AS ({inner}), y AS (SELECT {keys}, joint, v FROM x UNION ALL SELECT {keys}, -1, v FROM x) SELECT {keys}, joint::INT AS joint, {_SUM.replace('(v', '(w')} FROM (SELECT *, CASE WHEN isfinite(v) THEN v END AS w FROM y) GROUP BY {keys}, joint"
 
 
 def oracle_sql() -> dict[str, str]:
+    conf = f"{SAMPLES}, conf AS (SELECT episode_id || '/' || channel AS id, round(count(*) FILTER (eligible) / count(*), 6) AS c, count(*) FILTER (ts > 0) < count(*) AS f FROM samples WHERE episode_id IS NOT NULL GROUP BY episode_id, channel)"
     bad = lambda a: f"len(list_filter({a}, lambda x: x IS NULL OR NOT isfinite(x))) > 0"
     rules = {
         "ARM_QPOS_SOURCE_TIMESTAMP_NS_NOT_POSITIVE": "t1 <= 0", "HAND_QPOS_SOURCE_TIMESTAMP_NS_NOT_POSITIVE": "t2 <= 0", "ARM_QCMD_SOURCE_TIMESTAMP_NS_NOT_POSITIVE": "t3 <= 0", "HAND_QCMD_SOURCE_TIMESTAMP_NS_NOT_POSITIVE": "t4 <= 0",
@@ -222,6 +265,12 @@ SELECT episode_id, count(*) AS segments, coalesce(sum(l - f), 0)::BIGINT AS dura
         "media_references": f"""WITH {MOVES}, r AS (SELECT episode_id, 'head' AS camera, head_rgb_frame_index AS f FROM moves UNION ALL SELECT episode_id, 'wrist', wrist_rgb_frame_index FROM moves)
 SELECT camera, count(*) AS total, count(DISTINCT episode_id || '|' || f) AS distinct_images FROM r WHERE f >= 0 AND episode_id IS NOT NULL GROUP BY 1""",
         "channel_health": f"WITH {SAMPLES} SELECT episode_id, channel, count(*) AS total, count(*) FILTER (ts > 0) AS positive, count(*) FILTER (eligible) AS eligible, round(count(*) FILTER (ts > 0) / count(*), 6) AS positive_share, round(count(*) FILTER (eligible) / count(*), 6) AS eligible_share FROM samples WHERE episode_id IS NOT NULL GROUP BY 1, 2",
+        "health_percentiles": f"WITH {conf}, p AS (SELECT unnest([0, 10, 25, 50, 75, 90, 95, 100]) AS percentile) SELECT percentile, round((SELECT quantile_cont(c, [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 1.0]) FROM conf)[list_position([0, 10, 25, 50, 75, 90, 95, 100], percentile)], 6) AS value, round((SELECT avg(c) FROM conf), 6) AS mean FROM p",
+        "health_workload": f"WITH {conf} SELECT t AS threshold, count(*) FILTER (c < t) AS n FROM conf, (VALUES (0.7::DOUBLE), (0.8::DOUBLE), (0.9::DOUBLE), (0.95::DOUBLE)) v(t) GROUP BY 1",
+        "health_review": f"""WITH {conf}, r AS (SELECT id, row_number() OVER (ORDER BY sha256('7:' || id), id) AS k, count(*) OVER () AS n FROM conf WHERE c >= 0.9 AND NOT f)
+SELECT id, 'LOW_CONFIDENCE' AS why FROM conf WHERE c < 0.9 UNION ALL SELECT id, 'QUALITY_WARNING' FROM conf WHERE c >= 0.9 AND f UNION ALL SELECT id, 'RANDOM' FROM r WHERE k <= floor(n * 0.1)""",
+        "size_mode": f"""WITH {_FILES}, c AS (SELECT episode, camera, n_bytes, count(*) AS n FROM files WHERE episode IS NOT NULL AND camera IS NOT NULL AND n_bytes IS NOT NULL GROUP BY ALL)
+SELECT episode, camera, n_bytes, n FROM c QUALIFY row_number() OVER (PARTITION BY episode, camera ORDER BY n DESC, n_bytes) = 1""",
         "longest_flagged": f"""WITH {TICKS}, f AS (SELECT episode_id, tick, coalesce(wrist_valid, false) AS f FROM ticks WHERE episode_id IS NOT NULL),
 g AS (SELECT *, row_number() OVER (PARTITION BY episode_id ORDER BY tick) - row_number() OVER (PARTITION BY episode_id, f ORDER BY tick) AS grp FROM f), r AS (SELECT episode_id, f, count(*) AS n FROM g GROUP BY episode_id, f, grp)
 SELECT episode_id, 1 + coalesce(max(n) FILTER (f), 0) AS longest FROM r GROUP BY 1""",
