@@ -193,9 +193,8 @@ def assign_splits(tied: DataFrame, fractions: list[tuple[str, float]], seed: int
     histogram = {r["size"]: r["n"] for r in groups.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()}
     plan = plan_splits(histogram, [(n, f / scale) for n, f in fractions])
     schema = T.StructType([T.StructField("of_size", T.LongType()), T.StructField("from_rank", T.LongType()), T.StructField("to_rank", T.LongType()), T.StructField("split_name", T.StringType())])
-    # at most a few rows for each size of group
-    table = F.broadcast(tied.sparkSession.createDataFrame(plan, schema))
-    ranked = spread_rank(groups.withColumn("h", seeded_hash(seed, "group_key")), ["size"], "h", ["group_key"])
+    table = tied.sparkSession.createDataFrame(plan, schema)
+    ranked = spread_rank(groups.withColumn("h", seeded_hash(seed, "group_key")), ["size"], "h", ["group_key"], rows=sum(histogram.values()))
     split = ranked.join(table, (F.col("size") == F.col("of_size")) & (F.col("rank") >= F.col("from_rank")) & (F.col("rank") < F.col("to_rank")))
     split = settle(split.select(F.col("group_key").alias("of_group"), "split_name"), "splits")
     return join_unique(tied, "group_key", split, "of_group").select("record_id", "group_key", "split_name")

@@ -144,7 +144,7 @@ def mix(sizes: DataFrame, targets: DataFrame, seed: int = 0) -> tuple[DataFrame,
         mixed, uses, docs = got.get(key, (0, 0, 0))
         report.append((source, weight, tokens, budget, mixed, round(mixed / whole, 9) if whole else 0.0, uses == docs * repeats and mixed < weight * total))
     shares = spark.createDataFrame(report, "source string, target_weight double, available_tokens long, target_tokens long, mixed_tokens long, share double, short boolean")
-    ranked = spread_rank(sizes.where(F.col("source_key").isin(keys)).withColumn("h", seeded_hash(seed, "doc_id")), ["source_key", "n_tokens"], "h", ["doc_id"])
+    ranked = spread_rank(sizes.where(F.col("source_key").isin(keys)).withColumn("h", seeded_hash(seed, "doc_id")), ["source_key", "n_tokens"], "h", ["doc_id"], rows=sum(d for _, _, d in got.values()))
     names = F.broadcast(goals.select("goal_key", "source"))
     used = ranked.join(plan.where("full > 0 or extra > 0"), (F.col("source_key") == F.col("of_key")) & (F.col("n_tokens") == F.col("of_tokens"))).join(names, F.col("source_key") == F.col("goal_key"))
     uses = F.col("full") + F.when(F.col("rank") < F.col("extra"), 1).otherwise(0)

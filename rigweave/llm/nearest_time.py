@@ -19,9 +19,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rigweave.operators.grouped_arrow import boundaries, grouped
+from rigweave.session import tasks_for
 
 BUCKET_BITS = 36
 CHUNK_ROWS = 262144
+#: Bytes shuffled for a byte of the estimate of what is read.
+GROWTH = 4.0
 
 
 class XFastTrie:
@@ -151,7 +154,9 @@ def match_nearest(
     both = leaves.unionByName(asked).select(
         F.concat_ws("\u0001", "entity", "channel").alias("entity"), "channel", "bucket", "kind", "ts", "ident", "tolerance"
     )
-    ordered = both.repartition("entity", "bucket").sortWithinPartitions("entity", "bucket", "kind", "ts", "ident")
+    # a sample or probe becomes a wider row than the compressed columns it is read from
+    tasks = max(tasks_for(samples, GROWTH), tasks_for(probes, GROWTH))
+    ordered = both.repartition(tasks, "entity", "bucket").sortWithinPartitions("entity", "bucket", "kind", "ts", "ident")
     bits = bucket_bits + 2
 
     def work(table: pa.Table) -> Iterator[pa.RecordBatch]:

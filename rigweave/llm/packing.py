@@ -168,7 +168,7 @@ def pack(items: DataFrame, capacity: int, seed: int = 0, groups: int = GROUPS) -
         at = np.searchsorted(lo, rank.to_numpy(), side="right") - 1
         return pd.Series(base[at] + (rank.to_numpy() - lo[at]) // each[at])
 
-    ranked = spread_rank(pieces.where(F.col("size") >= least), ["size"], "h", ["item_id", "part"])
+    ranked = spread_rank(pieces.where(F.col("size") >= least), ["size"], "h", ["item_id", "part"], rows=run)
     big = ranked.join(starts, ranked.size == starts.of_size).select("item_id", "part", "size", slot(F.col("above") + F.col("rank")).alias("window_id"))
     big = settle(big, "large")
 
@@ -197,9 +197,9 @@ def pack(items: DataFrame, capacity: int, seed: int = 0, groups: int = GROUPS) -
             out[rows, 1] = start[at] + r[rows] - begin[at]
         return pd.DataFrame({"origin": out[:, 0], "place": out[:, 1]})
 
-    little = spread_rank(pieces.where((F.col("size") > 0) & (F.col("size") < least)), ["size"], "h", ["item_id", "part"])
+    little = spread_rank(pieces.where((F.col("size") > 0) & (F.col("size") < least)), ["size"], "h", ["item_id", "part"], rows=sum(small.values()))
     little = little.withColumn("f", fill("size", "rank")).select("item_id", "part", "size", "f.origin", "f.place")
-    target = spread_rank(load, ["room"], "h", ["window_id"]).select(F.col("room").alias("w_room"), F.col("rank").alias("w_rank"), "window_id")
+    target = spread_rank(load, ["room"], "h", ["window_id"], rows=windows).select(F.col("room").alias("w_room"), F.col("rank").alias("w_rank"), "window_id")
     put = little.join(target, (F.col("origin") == F.col("w_room")) & (F.col("place") == F.col("w_rank")), "left").select(
         "item_id", "part", "size",
         F.when(F.col("origin") == NEW, F.col("place") + windows).otherwise(F.col("window_id")).alias("window_id"),
