@@ -20,7 +20,7 @@ def append_once(spark: SparkSession, source: str, schema: StructType, target: st
     """
     known = target.rstrip("/") + ".keys"
     kind = dict(zip(schema.fieldNames(), (f.dataType for f in schema.fields)))[key]
-    keys = StructType().add(key, kind).add("batch", "long").add("bucket", "int")
+    keys = StructType().add(key, kind).add("batch", "long").add("bucket", "integer")
 
     def write(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
