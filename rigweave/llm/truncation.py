@@ -31,8 +31,8 @@ HAN = re.compile(r"[㐀-鿿]")
 CLOSERS = "\"'”’»)]}」』）】"
 ENDS = ".!?。！？"
 SENTENCE = re.compile(r"(?<=[.!?])[" + re.escape(CLOSERS) + r"]*\s+|(?<=[。！？])")
-#: Up to so many prefixes of lookups (8 bytes each) are sent to all tasks; beyond, the same join runs by shuffle.
-SMALL_LOOKUP = 1_000_000
+#: Bits (as a power of two) of the filter of places looked up, which all tasks get: 2 MB whatever the number of lookups.
+FILTER_BITS = 24
 #: Words are matched by their first letters, at most so many, and then compared whole.
 STEM = 64
 #: So many copies need no second opinion.
@@ -274,8 +274,19 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["doc_id", "verdict", "copy_key", "style", "units", "asked"])
 
 
-def _unfold(wanted: np.ndarray | None):
-    """(what precedes, word) with how often the word ended and went on there, of distinct units; of `wanted` places only, if given."""
+def place_filter(lookups: DataFrame) -> np.ndarray:
+    """One bit for each place looked up, by the low bits of its hash: of fixed size, and right for any number of lookups, as an exact join follows."""
+    low = F.col("at").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+    words = lookups.select(F.shiftright(low, 6).alias("word"), F.expr("shiftleft(1L, cast(`at` & 63 as int))").alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).collect()
+    out = np.zeros(max(1, (1 << FILTER_BITS) >> 6), dtype=np.int64)
+    for r in words:
+        out[r["word"]] = r["bits"]
+    return out
+
+
+def _unfold(wanted: np.ndarray):
+    """(what precedes, word) with how often the word ended and went on there, of distinct units; places that the filter rules out are left out."""
+    low = np.int64((len(wanted) << 6) - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -290,9 +301,7 @@ def _unfold(wanted: np.ndarray | None):
             key, word = np.concatenate(row), np.tile(code, len(LEVELS))
             count, ends = np.tile(n, len(LEVELS)), np.tile(final, len(LEVELS))
             keep = key >= 0
-            if wanted is not None:
-                spot = np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)
-                keep &= wanted[spot] == key
+            keep &= (wanted[(key & low) >> np.int64(6)] >> (key & np.int64(63))) & 1 == 1
             key, word, count, ends = key[keep], word[keep], count[keep], ends[keep]
             if not len(key):
                 continue
@@ -324,18 +333,9 @@ def find_cut(documents: DataFrame) -> DataFrame:
     # every text speaks once, however many copies it has
     texts = parsed.groupBy("copy_key").agg(F.first("style").alias("style"), F.first("units").alias("units"))
     units = texts.select("style", F.explode("units").alias("unit")).groupBy("style", "unit").agg(F.count(F.lit(1)).alias("n"))
-    where = lookups.select("at").distinct()
-    sums = [F.sum("ends").alias("ends"), F.sum("on").alias("on")]
     shape = "at long, word string, ends long, on long"
-    asked_for = [r["at"] for r in where.limit(SMALL_LOOKUP + 1).collect()]
-    if len(asked_for) <= SMALL_LOOKUP:
-        wanted = np.array(sorted(asked_for) or [-2], dtype=np.int64)
-        said = units.mapInArrow(_unfold(wanted), shape).groupBy("at", "word").agg(*sums)
-    else:
-        # summed by place and word before they meet the lookups; the two places that all texts share need not meet them
-        said = settle(units.mapInArrow(_unfold(None), shape).groupBy("at", "word").agg(*sums), "said")
-        common = F.col("at").isin(START, ANYWHERE)
-        said = said.where(~common).join(where, "at", "left_semi").unionByName(said.where(common))
+    # summed by place and word: a place that many texts share, as the start of units, is spread by its words
+    said = units.mapInArrow(_unfold(place_filter(lookups)), shape).groupBy("at", "word").agg(F.sum("ends").alias("ends"), F.sum("on").alias("on"))
     # every beginning of a word that follows, up to STEM letters: half words meet whole ones by an equi-join
     stems = said.select("at", "word", "ends", "on", F.explode(F.sequence(F.lit(1), F.least(F.length("word"), F.lit(STEM)))).alias("cut")).withColumn("stem", F.expr("substring(word, 1, cut)"))
     met = lookups.join(stems, ["at", "stem"]).where(F.col("word").startswith(F.col("last")))

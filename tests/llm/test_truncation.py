@@ -83,13 +83,13 @@ def test_copies_of_a_cut_line_do_not_vouch(spark):
     assert got == set(range(1000))
 
 
-def test_lookups_by_shuffle_give_the_same(spark, monkeypatch):
+def test_a_filter_that_rules_nothing_out_gives_the_same(spark, monkeypatch):
     import rigweave.llm.truncation as module
 
     docs, _ = corpus(random.Random(9))
     df = spark.createDataFrame(docs, "doc_id long, text string, n string")
     near = {(r["doc_id"], r["why"]) for r in find_cut(df).collect()}
-    monkeypatch.setattr(module, "SMALL_LOOKUP", 0)
+    monkeypatch.setattr(module, "FILTER_BITS", 6)
     assert {(r["doc_id"], r["why"]) for r in find_cut(df).collect()} == near
 
 
