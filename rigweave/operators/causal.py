@@ -59,10 +59,12 @@ def synchronize(ticks: DataFrame, holes: DataFrame, actions: DataFrame, samples:
         F.struct("ask.*", "p.part").alias("ask"), F.col("ask.episode_id").alias("entity"), "p.channel", "p.after", F.when(F.col("p.after"), F.col("ask.end_ns")).otherwise(F.col("ask.start_ns")).alias("ts"))
     have = samples.where("episode_id is not null").select(F.col("episode_id").alias("entity"), "channel", "ts", "row", "eligible", F.col("frame_index").alias("payload"))
     met = both_sides(asked, have).select("ask.*", "channel", "pick_row", "pick_ts", F.col("payload").alias("frame_index"), "any_positive")
-    camera = F.col("part").endswith("_CAMERA") & F.col("pick_row").isNotNull()
-    stored = frames.select(F.col("episode_id").alias("f_episode"), F.col("channel").alias("f_channel"), F.col("frame_index").alias("f_frame"), F.coalesce("decodable", F.lit(True)).alias("fine"))
-    seen = met.where(camera).join(stored, (F.col("episode_id") == F.col("f_episode")) & (F.col("channel") == F.col("f_channel")) & (F.col("frame_index") == F.col("f_frame")), "left").drop("f_episode", "f_channel", "f_frame")
-    evidence = seen.unionByName(met.where(~camera).withColumn("fine", F.lit(None).cast("boolean")))
+    # only picks of a camera can meet an image; the others are spread by their tick, not gathered by a missing frame
+    salt = F.when(F.col("part").endswith("_CAMERA") & F.col("pick_row").isNotNull(), F.lit(-1).cast("long")).otherwise(F.abs("tick"))
+    stored = frames.select(
+        F.col("episode_id").alias("f_episode"), F.col("channel").alias("f_channel"), F.col("frame_index").alias("f_frame"), F.coalesce("decodable", F.lit(True)).alias("fine"), F.lit(-1).cast("long").alias("f_salt"))
+    same = (F.col("episode_id") == F.col("f_episode")) & (F.col("channel") == F.col("f_channel")) & (F.col("frame_index") == F.col("f_frame")) & (F.col("salt") == F.col("f_salt"))
+    evidence = met.withColumn("salt", salt).join(stored, same, "left")
     name = lambda head, tail: F.concat(F.lit(head), "part", F.lit(tail))
     code = F.when(
         F.col("part").endswith("_CAMERA"),
