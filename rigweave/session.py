@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import contextlib
 import math
+import re
 import shutil
 import tempfile
 import uuid
@@ -75,6 +76,14 @@ def clear_scratch(spark: SparkSession) -> None:
         discard(spark, path)
 
 
+@atexit.register
+def _clear_at_exit() -> None:
+    """What a finished driver left in a folder of a mounted file system goes; other file systems need clear_scratch."""
+    for path in _written:
+        if "://" not in path or path.startswith("file:"):
+            shutil.rmtree(re.sub(r"^file:/*", "/", path), ignore_errors=True)
+
+
 def settle(df: DataFrame, label: str = "settled") -> DataFrame:
     """Write `df` as a table in the shared folder and read it back: lineage is cut and a lost executor costs nothing.
 
