@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rigweave.functions.arrays import luminance, total
+from rigweave.functions.arrays import all_finite, luminance, total
 from rigweave.operators.hashrank import below_fraction
 from rigweave.operators.hilbert import with_record
 from rigweave.operators.contract import verdicts, violations
+from rigweave.operators.frames import frame_changes, review_rows
 from rigweave.operators.sequence import islands, neighbour, row_index
 from rigweave.operators.stats import exact_summary, most_frequent, quantiles
 from rigweave.plans.base import MEDIA, MOVES, SAMPLES, TICKS, VECTORS, media, moves, samples, table, ticks
@@ -138,6 +139,30 @@ def channel_health(spark: SparkSession, folder: str) -> DataFrame:
     return s.select("*", share("positive").alias("positive_share"), share("eligible").alias("eligible_share"))
 
 
+def action_health(spark: SparkSession, folder: str) -> DataFrame:
+    """Actions of each episode: those with both times, with positive ones, with a vector and with a finite one, and the shares of the first and the last."""
+    rows = table(spark, folder, "transitions").where("episode_id is not null").select(
+        "transition_id", "episode_id", F.col("arm_action_timestamp_ns").alias("a"), F.col("hand_action_timestamp_ns").alias("h"), F.col("action17").isNotNull().alias("present"), F.coalesce(all_finite(F.col("action17")), F.lit(False)).alias("finite")).distinct()
+    per = rows.groupBy("episode_id").agg(
+        F.count(F.lit(1)).alias("total"), F.count_if(F.col("a").isNotNull() & F.col("h").isNotNull()).alias("timed"), F.count_if((F.col("a") > 0) & (F.col("h") > 0)).alias("positive"), F.count_if("present").alias("present"), F.count_if("finite").alias("finite"))
+    return per.select("*", F.round(F.col("timed") / F.col("total"), 6).alias("timed_share"), F.round(F.col("finite") / F.col("total"), 6).alias("finite_share"))
+
+
+def image_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """Embeddings read as 8 x 8 images in one sequence per label: pairs with a difference, exact repeats, near-static pairs and the largest difference."""
+    e = table(spark, folder, "embeddings").select("label", "vec_id", F.transform("embedding", lambda x: (x.cast("double") + 1) * 127.5).alias("pixels"), F.lit(8).alias("width"), F.lit(8).alias("height"))
+    c = frame_changes(e, "label", "vec_id")
+    return c.groupBy("label").agg(F.count("difference").alias("pairs"), F.count_if("exact").alias("exact"), F.count_if("near_static").alias("near_static"), F.round(F.max("difference"), 6).alias("largest"))
+
+
+def review_selection(spark: SparkSession, folder: str) -> DataFrame:
+    """Transitions without both camera times, with their segment, whose head image is stored: what a reviewer of invalid rows is shown."""
+    rows = moves(spark, folder).where("episode_id is not null").withColumn("keep", F.col("head_timestamp_ns").isNotNull() & F.col("wrist_timestamp_ns").isNotNull())
+    cut = islands(rows, "episode_id", "tick", F.col("tick") != F.col("_n"), "segment", {"_n": "next_tick"}).select("episode_id", F.col("tick").alias("row"), "segment", "keep", F.col("head_rgb_frame_index").alias("frame_index"))
+    stored = media(spark, folder).where("role = 'head'").select("episode_id", "frame_index", F.lit(None).cast("boolean").alias("decodable"))
+    return review_rows(cut, stored, "invalid").select("episode_id", "row", "segment", "frame_index")
+
+
 #: Points of the report, and thresholds of the work they would cause.
 PERCENTILES, THRESHOLDS = (0, 10, 25, 50, 75, 90, 95, 100), (0.70, 0.80, 0.90, 0.95)
 
@@ -209,7 +234,7 @@ def even_rounded(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict:
     return {f.__name__: f for f in (
-        contract_violations, contract_verdicts, velocity_summary, velocity_timing, step_statistics, vector_statistics, activity, durations, media_references, channel_health, health_percentiles, health_workload, health_review, size_mode, longest_flagged, homogeneity, rgb_metrics, even_rounded)}
+        contract_violations, contract_verdicts, velocity_summary, velocity_timing, step_statistics, vector_statistics, activity, durations, media_references, channel_health, action_health, image_changes, review_selection, health_percentiles, health_workload, health_review, size_mode, longest_flagged, homogeneity, rgb_metrics, even_rounded)}
 
 
 _SUM = "count(v) AS n, CASE WHEN abs(avg(v)) < 1e5 THEN round(avg(v), 4) ELSE round(avg(v), -3) END AS mean, round(quantile_cont(v, 0.5), 9) AS median, round(quantile_cont(v, 0.95), 9) AS p95, round(quantile_cont(v, 0.99), 9) AS p99, round(max(v), 9) AS max"
@@ -265,6 +290,13 @@ SELECT episode_id, count(*) AS segments, coalesce(sum(l - f), 0)::BIGINT AS dura
         "media_references": f"""WITH {MOVES}, r AS (SELECT episode_id, 'head' AS camera, head_rgb_frame_index AS f FROM moves UNION ALL SELECT episode_id, 'wrist', wrist_rgb_frame_index FROM moves)
 SELECT camera, count(*) AS total, count(DISTINCT episode_id || '|' || f) AS distinct_images FROM r WHERE f >= 0 AND episode_id IS NOT NULL GROUP BY 1""",
         "channel_health": f"WITH {SAMPLES} SELECT episode_id, channel, count(*) AS total, count(*) FILTER (ts > 0) AS positive, count(*) FILTER (eligible) AS eligible, round(count(*) FILTER (ts > 0) / count(*), 6) AS positive_share, round(count(*) FILTER (eligible) / count(*), 6) AS eligible_share FROM samples WHERE episode_id IS NOT NULL GROUP BY 1, 2",
+        "action_health": f"""WITH {_ONE}, p AS (SELECT episode_id, count(*) AS total, count(*) FILTER (t3 IS NOT NULL AND t4 IS NOT NULL) AS timed, count(*) FILTER (t3 > 0 AND t4 > 0) AS positive, count(*) FILTER (action IS NOT NULL) AS present,
+  count(*) FILTER (action IS NOT NULL AND len(list_filter(action, lambda x: x IS NULL OR NOT isfinite(x))) = 0) AS finite FROM tr WHERE episode_id IS NOT NULL GROUP BY 1) SELECT *, round(timed / total, 6) AS timed_share, round(finite / total, 6) AS finite_share FROM p""",
+        "image_changes": """WITH p AS (SELECT label, vec_id, list_transform(embedding, lambda x: (x::DOUBLE + 1) * 127.5) AS x FROM embeddings), q AS (SELECT label, x, lag(x) OVER (PARTITION BY label ORDER BY vec_id) AS y FROM p),
+d AS (SELECT label, CASE WHEN y IS NOT NULL THEN list_sum(list_transform(range(1, 65), lambda i: abs(x[i] - y[i]))) / 64 END AS d FROM q) SELECT label, count(d) AS pairs, count(*) FILTER (d = 0) AS exact, count(*) FILTER (d <= 1) AS near_static, round(max(d), 6) AS largest FROM d GROUP BY 1""",
+        "review_selection": f"""WITH {MOVES}, {MEDIA}, s0 AS (SELECT *, CASE WHEN lag(next_tick) OVER w = tick THEN 0 ELSE 1 END AS b FROM moves WHERE episode_id IS NOT NULL WINDOW w AS (PARTITION BY episode_id ORDER BY tick)),
+s1 AS (SELECT *, (sum(b) OVER (PARTITION BY episode_id ORDER BY tick) - 1)::BIGINT AS segment FROM s0)
+SELECT s.episode_id, s.tick AS row, segment, head_rgb_frame_index AS frame_index FROM s1 s WHERE (head_timestamp_ns IS NULL OR wrist_timestamp_ns IS NULL) AND EXISTS (SELECT 1 FROM media m WHERE m.role = 'head' AND m.episode_id = s.episode_id AND m.frame_index = s.head_rgb_frame_index)""",
         "health_percentiles": f"WITH {conf}, p AS (SELECT unnest([0, 10, 25, 50, 75, 90, 95, 100]) AS percentile) SELECT percentile, round((SELECT quantile_cont(c, [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 1.0]) FROM conf)[list_position([0, 10, 25, 50, 75, 90, 95, 100], percentile)], 6) AS value, round((SELECT avg(c) FROM conf), 6) AS mean FROM p",
         "health_workload": f"WITH {conf} SELECT t AS threshold, count(*) FILTER (c < t) AS n FROM conf, (VALUES (0.7::DOUBLE), (0.8::DOUBLE), (0.9::DOUBLE), (0.95::DOUBLE)) v(t) GROUP BY 1",
         "health_review": f"""WITH {conf}, r AS (SELECT id, row_number() OVER (ORDER BY sha256('7:' || id), id) AS k, count(*) OVER () AS n FROM conf WHERE c >= 0.9 AND NOT f)
