@@ -25,16 +25,15 @@ def spread_rank(df: DataFrame, keys: list[str], order: str, tie: list[str], rank
     """
     bits = min(MOST_BITS, max(FEWEST_BITS, ((rows or 0) // PART_ROWS).bit_length()))
     cut = df.withColumn("__rk_sub", F.shiftright(F.col(order), 63 - bits).cast("int"))
-    counts = cut.groupBy(*keys, "__rk_sub").agg(F.count(F.lit(1)).alias("__rk_n"))
-    before = Window.partitionBy(*keys).orderBy("__rk_sub").rowsBetween(Window.unboundedPreceding, -1)
-    base = counts.select(*[F.col(k).alias(f"__rk_k_{k}") for k in keys], F.col("__rk_sub").alias("__rk_k_sub"), F.coalesce(F.sum("__rk_n").over(before), F.lit(0)).alias("__rk_base"))
-    same = F.col("__rk_sub") == F.col("__rk_k_sub")
-    for key in keys:
-        same = same & F.col(key).eqNullSafe(F.col(f"__rk_k_{key}"))
-    inside = Window.partitionBy(*keys, "__rk_sub").orderBy(order, *tie)
-    return (
-        cut.withColumn("__rk_r", F.row_number().over(inside) - 1)
-        .join(base, same)
-        .withColumn(rank, F.col("__rk_base") + F.col("__rk_r"))
-        .select(*df.columns, rank)
-    )
+    # keys without nulls, so that the window and the join ask for one and the same partitioning
+    plain = {f"__rk_n{i}": F.col(k).isNull() for i, k in enumerate(keys)} | {f"__rk_c{i}": F.coalesce(F.col(k).cast("string"), F.lit("")) for i, k in enumerate(keys)}
+    cut = cut.withColumns(plain) if plain else cut
+    part = [*plain, "__rk_sub"]
+    counts = cut.groupBy(*part).agg(F.count(F.lit(1)).alias("__rk_n"))
+    before = Window.partitionBy(*plain).orderBy("__rk_sub").rowsBetween(Window.unboundedPreceding, -1)
+    base = counts.select(*[F.col(c).alias(f"{c}_b") for c in part], F.coalesce(F.sum("__rk_n").over(before), F.lit(0)).alias("__rk_base"))
+    same = F.lit(True)
+    for c in part:
+        same = same & (F.col(c) == F.col(f"{c}_b"))
+    inside = Window.partitionBy(*part).orderBy(order, *tie)
+    return cut.withColumn("__rk_r", F.row_number().over(inside) - 1).join(base, same).withColumn(rank, F.col("__rk_base") + F.col("__rk_r")).select(*df.columns, rank)
