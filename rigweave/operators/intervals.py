@@ -46,16 +46,18 @@ def clean_gaps(points: DataFrame, intervals: DataFrame, entity: str, ts: str) ->
     asked = points.select(F.col(entity).alias("__iv_entity"), F.col(ts).cast("long").alias("__iv_at"), null.alias("__iv_start"), null.alias("__iv_end"), packed)
     starts = intervals.select(F.col(entity).alias("__iv_entity"), F.col("start_ns").alias("__iv_at"), F.col("start_ns").alias("__iv_start"), null.alias("__iv_end"), none)
     ends = intervals.where("end_ns is not null").select(F.col(entity).alias("__iv_entity"), F.col("end_ns").alias("__iv_at"), null.alias("__iv_start"), F.col("end_ns").alias("__iv_end"), none)
-    events = asked.unionByName(starts).unionByName(ends).withColumn("__iv_chunk", F.shiftright("__iv_at", TIME_BITS))
-    chunks = events.groupBy("__iv_entity", "__iv_chunk").agg(F.max("__iv_end").alias("e"), F.max("__iv_start").alias("s"), F.min("__iv_start").alias("n"))
-    whole = Window.partitionBy("__iv_entity")
+    # a key without nulls: the windows and the join share one partitioning
+    events = asked.unionByName(starts).unionByName(ends).withColumns({
+        "__iv_key": F.concat(F.when(F.col("__iv_entity").isNull(), "-").otherwise("+"), F.coalesce(F.col("__iv_entity").cast("string"), F.lit(""))), "__iv_chunk": F.coalesce(F.shiftright("__iv_at", TIME_BITS), F.lit(-(2**62)))})
+    chunks = events.groupBy("__iv_key", "__iv_chunk").agg(F.max("__iv_end").alias("e"), F.max("__iv_start").alias("s"), F.min("__iv_start").alias("n"))
+    whole = Window.partitionBy("__iv_key")
     past, coming = whole.orderBy("__iv_chunk").rowsBetween(Window.unboundedPreceding, -1), whole.orderBy(F.desc("__iv_chunk")).rowsBetween(Window.unboundedPreceding, -1)
-    far = chunks.select(F.col("__iv_entity").alias("__iv_k"), F.col("__iv_chunk").alias("__iv_c"), F.max("e").over(past).alias("__iv_e"), F.max("s").over(past).alias("__iv_s"), F.min("n").over(coming).alias("__iv_n"))
-    part = Window.partitionBy("__iv_entity", "__iv_chunk")
+    far = chunks.select(F.col("__iv_key").alias("__iv_k"), F.col("__iv_chunk").alias("__iv_c"), F.max("e").over(past).alias("__iv_e"), F.max("s").over(past).alias("__iv_s"), F.min("n").over(coming).alias("__iv_n"))
+    part = Window.partitionBy("__iv_key", "__iv_chunk")
     up, down = part.orderBy("__iv_at"), part.orderBy(-F.col("__iv_at"))
     near = events.withColumns({"__iv_e_in": F.max("__iv_end").over(up.rangeBetween(Window.unboundedPreceding, -1)), "__iv_s_in": F.max("__iv_start").over(up.rangeBetween(Window.unboundedPreceding, 0))})
     near = near.withColumn("__iv_n_in", F.min("__iv_start").over(down.rangeBetween(Window.unboundedPreceding, -1))).where("__iv_row is not null")
-    met = near.join(far, F.col("__iv_entity").eqNullSafe(F.col("__iv_k")) & F.col("__iv_chunk").eqNullSafe(F.col("__iv_c")))
+    met = near.join(far, (F.col("__iv_key") == F.col("__iv_k")) & (F.col("__iv_chunk") == F.col("__iv_c")))
     e, s, n = F.coalesce("__iv_e_in", "__iv_e"), F.coalesce("__iv_s_in", "__iv_s"), F.coalesce("__iv_n_in", "__iv_n")
     known = F.col("__iv_entity").isNotNull() & F.col("__iv_at").isNotNull()
     # the last start at or before ts belongs to an interval that has ended unless it lies behind the last end before ts

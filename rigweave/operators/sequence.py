@@ -11,10 +11,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CHUNK_BITS = 14
+#: The chunk of rows without a place, below any that a 64-bit place can give.
+NOWHERE = -(2**62)
+#: A row's key and chunk without nulls: windows and joins over them ask for one and the same partitioning, so that the wide
+#: rows are shuffled once.
+KEY, PART = ("__seq_kn", "__seq_kc"), ("__seq_kn", "__seq_kc", "__seq_chunk")
 
 
-def _chunked(df: DataFrame, seq: str, bits: int) -> DataFrame:
-    return df.withColumn("__seq_chunk", F.shiftright(F.col(seq).cast("long"), bits))
+def _chunked(df: DataFrame, key: str, seq: str, bits: int) -> DataFrame:
+    chunk = F.coalesce(F.shiftright(F.col(seq).cast("long"), bits), F.lit(NOWHERE))
+    return df.withColumns({"__seq_kn": F.col(key).isNull(), "__seq_kc": F.coalesce(F.col(key).cast("string"), F.lit("")), "__seq_chunk": chunk})
+
+
+def _met(rows: DataFrame, per_chunk: DataFrame, value: Column, name: str) -> DataFrame:
+    """rows with a value of their chunk."""
+    side = per_chunk.select(*[F.col(c).alias(f"{c}_e") for c in PART], value.alias(name))
+    same = F.lit(True)
+    for c in PART:
+        same = same & (F.col(c) == F.col(f"{c}_e"))
+    return rows.join(side, same)
 
 
 def neighbour(df: DataFrame, key: str, seq: str, columns: dict[str, str], tie: list[str] | None = None, after: bool = False, bits: int = CHUNK_BITS) -> DataFrame:
@@ -23,29 +38,24 @@ def neighbour(df: DataFrame, key: str, seq: str, columns: dict[str, str], tie: l
     Rows order by (seq, tie). A null key or seq forms its own sequence part; empty input stays empty.
     """
     order = [seq, *(tie or [])]
-    inside = Window.partitionBy(key, "__seq_chunk").orderBy(*order)
     packed = F.struct(*[F.col(old).alias(new) for new, old in columns.items()])
-    rows = _chunked(df, seq, bits)
-    at_edge = F.struct(*order)
-    edge = rows.groupBy(key, "__seq_chunk").agg((F.min_by if after else F.max_by)(packed, at_edge).alias("__seq_e"))
-    over = Window.partitionBy(key).orderBy("__seq_chunk")
-    edge = edge.select(F.col(key).alias("__seq_key"), F.col("__seq_chunk").alias("__seq_edge_chunk"), (F.lead("__seq_e") if after else F.lag("__seq_e")).over(over).alias("__seq_far"))
+    rows = _chunked(df, key, seq, bits)
+    edge = rows.groupBy(*PART).agg((F.min_by if after else F.max_by)(packed, F.struct(*order)).alias("__seq_e"))
     step = F.lead if after else F.lag
-    rows = rows.withColumn("__seq_near", step(packed).over(inside))
-    joined = rows.join(edge, rows[key].eqNullSafe(edge["__seq_key"]) & rows["__seq_chunk"].eqNullSafe(edge["__seq_edge_chunk"]))
+    far = step("__seq_e").over(Window.partitionBy(*KEY).orderBy("__seq_chunk"))
+    rows = rows.withColumn("__seq_near", step(packed).over(Window.partitionBy(*PART).orderBy(*order)))
+    joined = _met(rows, edge, far, "__seq_far")
     value = F.coalesce("__seq_near", "__seq_far")
     return joined.select(*df.columns, *[value[new].alias(new) for new in columns])
 
 
 def running_total(df: DataFrame, key: str, seq: str, value: Column, name: str, tie: list[str] | None = None, bits: int = CHUNK_BITS) -> DataFrame:
     """Add the sum of `value` over the key's rows up to and with this one, in the order of (seq, tie)."""
-    rows = _chunked(df.withColumn("__seq_v", value), seq, bits)
-    inside = Window.partitionBy(key, "__seq_chunk").orderBy(seq, *(tie or [])).rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy(key).orderBy("__seq_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offset = rows.groupBy(key, "__seq_chunk").agg(F.sum("__seq_v").alias("__seq_s"))
-    offset = offset.select(F.col(key).alias("__seq_key"), F.col("__seq_chunk").alias("__seq_edge_chunk"), F.coalesce(F.sum("__seq_s").over(before), F.lit(0)).alias("__seq_base"))
-    rows = rows.withColumn("__seq_in", F.sum("__seq_v").over(inside))
-    joined = rows.join(offset, rows[key].eqNullSafe(offset["__seq_key"]) & rows["__seq_chunk"].eqNullSafe(offset["__seq_edge_chunk"]))
+    rows = _chunked(df.withColumn("__seq_v", value), key, seq, bits)
+    inside = Window.partitionBy(*PART).orderBy(seq, *(tie or [])).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy(*KEY).orderBy("__seq_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    sums = rows.groupBy(*PART).agg(F.sum("__seq_v").alias("__seq_s"))
+    joined = _met(rows.withColumn("__seq_in", F.sum("__seq_v").over(inside)), sums, F.coalesce(F.sum("__seq_s").over(before), F.lit(0)), "__seq_base")
     return joined.select(*df.columns, (F.col("__seq_base") + F.col("__seq_in")).alias(name))
 
 
